@@ -14,7 +14,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfsense.session import cut_lineage, shuffle_partitions
+from shelfsense.session import cut_lineage, cut_lineage_keeping_layout, shuffle_partitions
 
 HOT_CUSTOMER_PRODUCTS = 1_000
 
@@ -105,7 +105,7 @@ def materialise(graph: CoReviewGraph) -> CoReviewGraph:
     classes = cut_lineage(graph.classes)
     links = cut_lineage(graph.links)
     edges = graph.edges.repartition(parts, "src").sortWithinPartitions("src")
-    return CoReviewGraph(cut_lineage(edges), classes, links)
+    return CoReviewGraph(cut_lineage_keeping_layout(edges), classes, links)
 
 
 def neighbour_sums(graph: CoReviewGraph, values: DataFrame, has_classes: bool = True) -> DataFrame:
@@ -165,8 +165,7 @@ def pagerank(
     """
     graph = materialise(graph)
     has_classes = not graph.classes.isEmpty()
-    parts = shuffle_partitions(graph.edges.sparkSession)
-    nodes = cut_lineage(degrees(graph).repartition(parts, "id"))
+    nodes = cut_lineage(degrees(graph))
     n = nodes.count()
     current = nodes.select("id", "degree", F.lit(1.0 / max(n, 1)).alias("rank"), F.lit(0.0).alias("change"))
     for _ in range(max_iter if n else 0):
@@ -190,8 +189,7 @@ def hits(graph: CoReviewGraph, max_iter: int = 100, tol: float = 1e-8) -> DataFr
     """
     graph = materialise(graph)
     has_classes = not graph.classes.isEmpty()
-    parts = shuffle_partitions(graph.edges.sparkSession)
-    nodes = cut_lineage(degrees(graph).select("id").repartition(parts, "id"))
+    nodes = cut_lineage(degrees(graph).select("id"))
     n = nodes.count()
     current = nodes.select(
         "id", F.lit(1.0 / max(n, 1)).alias("hub"), F.lit(1.0 / max(n, 1)).alias("authority"), F.lit(0.0).alias("change")

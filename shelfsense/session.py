@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -25,31 +26,39 @@ def build_session(name: str = "shelfsense", master: str | None = None, **conf: s
     return builder.getOrCreate()
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Point reliable checkpoints at the folder the cluster names in `spark.checkpoint.dir`.
+def checkpoint_dir(spark: SparkSession) -> str:
+    """The folder the cluster names in `spark.checkpoint.dir`, which all executors can read.
 
-    Only a local session may fall back to a temporary folder: executors on other machines
-    could not read it, and it would not outlive them.
+    Only a local session may fall back to a temporary folder: executors on other machines could
+    not read it, and it would not outlive them.
     """
     context = spark.sparkContext
-    if context.getCheckpointDir():
-        return
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    if named:
+    named = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if not named:
+        if not context.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a shared folder for iterative operators")
+        named = tempfile.mkdtemp(prefix="shelfsense-")
+    if not context.getCheckpointDir():
         context.setCheckpointDir(named)
-    elif context.master.startswith("local"):
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="shelfsense-"))
-    else:
-        raise ValueError("set spark.checkpoint.dir to a shared folder for iterative operators")
+    return named
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Write `df` to the checkpoint folder and go on from there.
+    """Write `df` as a table to the checkpoint folder and go on from there.
 
-    The result keeps the partitioning of the plan that produced it, so a table that was
-    repartitioned by a key joins on that key again without another shuffle.
+    A lost executor then costs no more than the current round of a loop. Unlike a checkpointed
+    plan, a table read back has its true size, so the joins of the next round are planned on
+    it; estimates carried from round to round would be squared every time.
     """
-    ensure_checkpoint_dir(df.sparkSession)
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark)}/shelfsense-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def cut_lineage_keeping_layout(df: DataFrame) -> DataFrame:
+    """Checkpoint `df` and keep its partitioning and order, for joins on the same key in a loop."""
+    checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
 
 

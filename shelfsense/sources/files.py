@@ -44,7 +44,9 @@ def prepare_corpus(sources: Sequence[DataFrame], rows_per_source: int | None, or
 
 
 def write_csv(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").csv(path, header=True, quote='"', escape='"')
+    writer = df.write.mode("overwrite").option("quote", '"').option("escape", '"').option("header", "true")
+    # By default the writer trims values; texts must come back as they were.
+    writer.option("ignoreLeadingWhiteSpace", "false").option("ignoreTrailingWhiteSpace", "false").csv(path)
 
 
 def write_parquet(df: DataFrame, path: str) -> None:
