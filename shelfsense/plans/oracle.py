@@ -366,8 +366,8 @@ merged AS (
 top AS (SELECT term, count(*) AS term_count FROM words GROUP BY term ORDER BY term_count DESC, term LIMIT 200)""",
             "SELECT term, term_count, round(term_count / max(term_count) OVER ()::DOUBLE, 6) AS weight FROM top"),
         "preprocess_compare": _with(words, f"""SELECT 'without_lemmas' AS strategy,
-  round(count(*) / (SELECT count(*) FROM documents)::DOUBLE, 2) AS mean_tokens, count(DISTINCT token) AS unique_terms FROM words
-  UNION ALL SELECT 'with_lemmas', round(count(*) / (SELECT count(*) FROM documents)::DOUBLE, 2),
+  round(count(*) / (SELECT count(*) FROM documents)::DOUBLE, 6) AS mean_tokens, count(DISTINCT token) AS unique_terms FROM words
+  UNION ALL SELECT 'with_lemmas', round(count(*) / (SELECT count(*) FROM documents)::DOUBLE, 6),
   count(DISTINCT {_lemma('token')}) FROM words"""),
         "feature_compare": _with(
             f"{PROCESSED}, {_vector_rows('processed', 'doc_id', 'text')}, {_tfidf(1000, '(SELECT count(*) FROM documents)')}",

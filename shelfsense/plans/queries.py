@@ -153,7 +153,7 @@ def term_weights(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def preprocess_compare(spark: SparkSession, folder: str) -> DataFrame:
-    return _rounded(mining.compare_preprocessing(_documents(spark, folder), "text"), "mean_tokens", digits=2)
+    return _rounded(mining.compare_preprocessing(_documents(spark, folder), "text"), "mean_tokens")
 
 
 def feature_compare(spark: SparkSession, folder: str) -> DataFrame:
