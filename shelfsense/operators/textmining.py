@@ -87,15 +87,18 @@ def vocabulary(terms: DataFrame, max_features: int) -> DataFrame:
     return counts.orderBy(F.desc("term_count"), "term").limit(max_features)
 
 
-def tfidf_vectors(terms: DataFrame, n_docs: Column, id_col: str, max_features: int) -> DataFrame:
-    """Unit-length TF-IDF vectors over the limited vocabulary in long form: (id, term, weight).
+def in_vocabulary(terms: DataFrame, top: DataFrame, max_features: int) -> DataFrame:
+    """The rows whose term belongs to a vocabulary of at most `max_features` terms."""
+    return terms.join(broadcast_if_bounded(top.select("term"), max_features), "term", "left_semi")
+
+
+def tfidf_weights(terms: DataFrame, n_docs: Column, id_col: str, max_features: int) -> DataFrame:
+    """Unit-length TF-IDF vectors in long form (id, term, weight) from rows (id, term, n).
 
-    `terms` are rows (id, term, n). Those outside the vocabulary go before the (document, term)
-    shuffle. After it a document has at most `max_features` rows, so the norm is a window over a
-    bounded group.
+    The rows hold at most `max_features` terms. So does a document after the count, and the norm
+    is a window over a bounded group.
     """
-    kept = terms.join(broadcast_if_bounded(vocabulary(terms, max_features).select("term"), max_features), "term")
-    counts = kept.groupBy(id_col, "term").agg(F.sum("n").alias("tf"))
+    counts = terms.groupBy(id_col, "term").agg(F.sum("n").alias("tf"))
     frequencies = counts.groupBy("term").agg(F.count("tf").alias("doc_freq"))
     weighted = counts.join(broadcast_if_bounded(frequencies, max_features), "term").select(
         id_col, "term", (F.col("tf") * smooth_idf(n_docs, F.col("doc_freq"))).alias("raw")
@@ -104,6 +107,12 @@ def tfidf_vectors(terms: DataFrame, n_docs: Column, id_col: str, max_features: i
     return weighted.select(id_col, "term", (F.col("raw") / norm).alias("weight"))
 
 
+def tfidf_vectors(terms: DataFrame, n_docs: Column, id_col: str, max_features: int) -> DataFrame:
+    """TF-IDF vectors over the most frequent terms; the others go before the wide shuffle."""
+    kept = in_vocabulary(terms, vocabulary(terms, max_features), max_features)
+    return tfidf_weights(kept, n_docs, id_col, max_features)
+
+
 def document_vectors(
     df: DataFrame, id_col: str, text: Column, max_features: int, stop_words: Sequence[str] = STOP_WORDS
 ) -> DataFrame:
@@ -170,8 +179,8 @@ def compare_features(
     TF-IDF only rescales the cells of the bag of words, so one pass serves both rows.
     """
     terms = vector_terms(df, id_col, text, stop_words)
-    top = broadcast_if_bounded(vocabulary(terms, max_features).select("term"), max_features)
-    cells = terms.join(top, "term").groupBy(id_col, "term").agg(F.sum("n").alias("tf"))
+    kept = in_vocabulary(terms, vocabulary(terms, max_features), max_features)
+    cells = kept.groupBy(id_col, "term").agg(F.sum("n").alias("tf"))
     per_term = cells.groupBy("term").agg(F.count("*").alias("cells"))
     totals = per_term.agg(
         F.count("*").alias("feature_count"), F.coalesce(F.sum("cells"), F.lit(0)).alias("nonzero_values")

@@ -207,15 +207,15 @@ def _tfidf(max_features: int, n_docs: str) -> str:
     """CTE `vectors` from `term_rows` (id, term, n)."""
     return f"""vocab AS (
   SELECT term FROM (SELECT term, sum(n) AS total FROM term_rows GROUP BY term ORDER BY total DESC, term LIMIT {max_features})),
-cells AS (SELECT id, term, sum(n) AS tf FROM term_rows WHERE term IN (SELECT term FROM vocab) GROUP BY ALL),
+cells AS MATERIALIZED (SELECT id, term, sum(n) AS tf FROM term_rows WHERE term IN (SELECT term FROM vocab) GROUP BY ALL),
 freq AS (SELECT term, count(*) AS df FROM cells GROUP BY term),
 raw AS (
   SELECT id, term, tf * (ln((1 + {n_docs}) / (1.0::DOUBLE + df)) + 1) AS w FROM cells JOIN freq USING (term)),
-vectors AS (SELECT id, term, w / sqrt(sum(w * w) OVER (PARTITION BY id)) AS weight FROM raw)"""
+vectors AS MATERIALIZED (SELECT id, term, w / sqrt(sum(w * w) OVER (PARTITION BY id)) AS weight FROM raw)"""
 
 
 def _vector_rows(source: str, id_col: str, text: str) -> str:
-    return f"""term_rows AS (
+    return f"""term_rows AS MATERIALIZED (
   SELECT id, term, 1 AS n FROM (SELECT {id_col} AS id, unnest({_vector(text)}) AS term FROM {source})
   WHERE term NOT IN ({STOPS}))"""
 
@@ -226,9 +226,10 @@ TARGETS = """busy_products AS (
 
 SIMILAR_PAIRS = f"""{TARGETS},
 targets AS (SELECT DISTINCT product_id AS target FROM busy_products),
+target_vectors AS MATERIALIZED (SELECT * FROM vectors WHERE id IN (SELECT target FROM targets)),
 close_pairs AS (
   SELECT a.id AS target, b.id AS product_id, sum(a.weight * b.weight) AS score
-  FROM vectors a JOIN targets ON a.id = target JOIN vectors b ON a.term = b.term AND a.id <> b.id GROUP BY ALL),
+  FROM target_vectors a JOIN vectors b ON a.term = b.term AND a.id <> b.id GROUP BY ALL),
 candidates AS (
   SELECT target, product_id, coalesce(score, 0) AS score FROM targets
   JOIN titles ON product_id <> target LEFT JOIN close_pairs USING (target, product_id))"""
@@ -419,10 +420,10 @@ firsts AS (
         ),
         "content_recs_all_reviews": _with(
             f"""{REVIEWS}, {TITLES},
-{_vector_rows('documents', 'doc_id', 'text').replace('term_rows AS', 'text_rows AS')},
+{_vector_rows('documents', 'doc_id', 'text').replace('term_rows', 'text_rows')},
 text_counts AS (SELECT id AS text_id, term, count(*) AS n FROM text_rows GROUP BY ALL),
 uses AS (SELECT product_id, text_id, count(*) AS uses FROM reviews GROUP BY ALL),
-term_rows AS (SELECT product_id AS id, term, n * uses AS n FROM text_counts JOIN uses USING (text_id)),
+term_rows AS MATERIALIZED (SELECT product_id AS id, term, n * uses AS n FROM text_counts JOIN uses USING (text_id)),
 {_tfidf(5000, '(SELECT count(*) FROM titles)')},
 {SIMILAR_PAIRS}""",
             MOST_SIMILAR,
