@@ -12,9 +12,9 @@ from shelfsense.functions import html
 from shelfsense.functions import text as tx
 from shelfsense.operators import classify, evaluate, factors, graph, index, recommend, relational, search
 from shelfsense.operators import textmining as mining
-from shelfsense.session import checkpoint_dir
+from shelfsense.session import checkpoint_dir, cut_lineage
 from shelfsense.sources import files, pages
-from shelfsense.sources.tables import interactions, reviews, reviews_by_text, table, texts, with_bodies
+from shelfsense.sources.tables import interactions, reviews, reviews_by_text, table, texts, wide_table, with_bodies
 
 SEARCH_QUERIES = "small ring\nred widget\nblue bolt"
 EVAL_QUERIES = "small ring\n\nwidget\n  blue bolt \nno such product"
@@ -26,7 +26,7 @@ def _rounded(df: DataFrame, *names: str, digits: int = 6) -> DataFrame:
 
 
 def _documents(spark: SparkSession, folder: str) -> DataFrame:
-    return table(spark, folder, "documents")
+    return wide_table(spark, folder, "documents", "doc_id")
 
 
 # Sources and relational operators
@@ -312,7 +312,8 @@ def _targets(reviews: DataFrame) -> DataFrame:
 
 def content_recs(spark: SparkSession, folder: str) -> DataFrame:
     rated = reviews_by_text(spark, folder)
-    first = with_bodies(recommend.first_reviews(rated), texts(spark, folder))
+    # One narrow row per product, read by the vocabulary, the counts and the vectors.
+    first = with_bodies(cut_lineage(recommend.first_reviews(rated)), texts(spark, folder))
     vectors = recommend.first_review_vectors(first)
     return recommend.content_recommendations(vectors, index.first_titles(rated), _targets(rated))
 
@@ -387,7 +388,7 @@ def hybrid_blend(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _pages(spark: SparkSession, folder: str) -> DataFrame:
-    return table(spark, folder, "pages")
+    return wide_table(spark, folder, "pages", "page_id")
 
 
 def canonical_url(spark: SparkSession, folder: str) -> DataFrame:

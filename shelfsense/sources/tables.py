@@ -12,6 +12,16 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def wide_table(spark: SparkSession, folder: str, name: str, key: str) -> DataFrame:
+    """A table with much text per row, spread evenly if its files give too few tasks.
+
+    A large table has a task per row group anyway and is left as it is.
+    """
+    rows = table(spark, folder, name)
+    tasks = spark.sparkContext.defaultParallelism
+    return rows if rows.rdd.getNumPartitions() > 2 * tasks else rows.repartition(tasks, key)
+
+
 def interactions(spark: SparkSession, folder: str) -> DataFrame:
     """Reviews without their text: who rated which product, for graph and rating work."""
     lineitem = table(spark, folder, "lineitem")
@@ -34,7 +44,7 @@ def interactions(spark: SparkSession, folder: str) -> DataFrame:
 
 def texts(spark: SparkSession, folder: str) -> DataFrame:
     """Review texts: (text_id, text)."""
-    return table(spark, folder, "documents").select(F.col("doc_id").alias("text_id"), "text")
+    return wide_table(spark, folder, "documents", "doc_id").select(F.col("doc_id").alias("text_id"), "text")
 
 
 def reviews_by_text(spark: SparkSession, folder: str) -> DataFrame:
@@ -45,10 +55,10 @@ def reviews_by_text(spark: SparkSession, folder: str) -> DataFrame:
 
 def reviews(spark: SparkSession, folder: str) -> DataFrame:
     """The same reviews with their text in `review_body`."""
-    # The order lines are few and narrow, the texts wide: spread the lines before texts join them.
-    spread = reviews_by_text(spark, folder).repartition(shuffle_partitions(spark), "ord1", "ord2")
-    return with_bodies(spread, texts(spark, folder))
+    return with_bodies(reviews_by_text(spark, folder), texts(spark, folder))
 
 
 def with_bodies(reviews: DataFrame, texts: DataFrame) -> DataFrame:
-    return reviews.join(texts.withColumnRenamed("text", "review_body"), "text_id").drop("text_id")
+    """Attach the texts. The rows are few and narrow before and wide after, so they spread first."""
+    spread = reviews.repartition(shuffle_partitions(reviews.sparkSession), "ord1", "ord2")
+    return spread.join(texts.withColumnRenamed("text", "review_body"), "text_id").drop("text_id")

@@ -1,6 +1,7 @@
 """Run registered queries and their SQL side by side: python tests/compare.py [folder] [query …]."""
 
 import sys
+import tempfile
 import time
 from pathlib import Path
 
@@ -14,6 +15,10 @@ from shelfsense.session import build_session  # noqa: E402
 
 def connect(folder: str) -> duckdb.DuckDBPyConnection:
     connection = duckdb.connect()
+    # Spilled rows of a stopped run must not end up in the working folder.
+    connection.execute(f"SET temp_directory = '{tempfile.mkdtemp(prefix='compare-')}'")
+    connection.execute("SET max_temp_directory_size = '5GB'")
+    connection.execute("SET memory_limit = '8GB'")
     for file in sorted(Path(folder).glob("*.parquet")):
         connection.execute(f"CREATE VIEW {file.stem} AS SELECT * FROM '{file}'")
     return connection
