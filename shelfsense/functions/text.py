@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from shelfsense.functions.wordlists import LEMMA_KEEP, LEMMA_RULES, STOP_WORDS
+from shelfsense.functions.wordlists import LEMMA_KEEP, LEMMA_MIN_LENGTH, LEMMA_RULES, STOP_WORDS
 
 # Character classes that mean the same in Spark (Java regex) and in SQL engines
 # built on RE2. A bare \w would be ASCII-only in both and would destroy accented words.
@@ -57,7 +57,7 @@ def lemma(token: Column) -> Column:
     for suffix, replacement in LEMMA_RULES:
         stem = F.substring(token, F.lit(1), F.length(token) - len(suffix))
         rule = rule.when(
-            token.endswith(suffix) & (F.length(token) > len(suffix) + 1),
+            token.endswith(suffix) & (F.length(token) >= LEMMA_MIN_LENGTH + len(suffix) - len(replacement)),
             F.concat(stem, F.lit(replacement)),
         )
     return rule.otherwise(token)

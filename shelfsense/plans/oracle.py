@@ -6,7 +6,7 @@ from html.entities import name2codepoint
 
 from shelfsense.functions import html as h
 from shelfsense.functions.text import NON_SPACE_RUN, PUNCTUATION_RUN, SPACE, VECTOR_WORD, WORD_RUN
-from shelfsense.functions.wordlists import LEMMA_KEEP, LEMMA_RULES, STOP_WORDS
+from shelfsense.functions.wordlists import LEMMA_KEEP, LEMMA_MIN_LENGTH, LEMMA_RULES, STOP_WORDS
 from shelfsense.plans.queries import EVAL_QUERIES, LABELS, SEARCH_QUERIES
 
 
@@ -33,7 +33,7 @@ def _relevance(text: str) -> str:
 def _lemma(token: str) -> str:
     keep = " OR ".join(f"ends_with({token}, {_lit(suffix)})" for suffix in LEMMA_KEEP)
     rules = " ".join(
-        f"WHEN ends_with({token}, {_lit(suffix)}) AND length({token}) > {len(suffix) + 1} "
+        f"WHEN ends_with({token}, {_lit(suffix)}) AND length({token}) >= {LEMMA_MIN_LENGTH + len(suffix) - len(replacement)} "
         f"THEN left({token}, length({token}) - {len(suffix)}) || {_lit(replacement)}"
         for suffix, replacement in LEMMA_RULES
     )
