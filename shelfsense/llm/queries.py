@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfsense.llm import huffman, packing
+from shelfsense.llm import decontam, huffman, linededup, packing, quality
 from shelfsense.llm.common import new_path
 from shelfsense.sources.tables import table
 
@@ -31,9 +31,30 @@ def op2_token_files(spark: SparkSession, folder: str) -> DataFrame:
     return huffman.read_tokens(spark, path).select("doc_id", "start", n_tokens, F.crc32("ids").alias("ids_crc32"))
 
 
+def op5_quality(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents that the quality model keeps, with expected grade and tail probabilities."""
+    docs = table(spark, folder, "documents")
+    kept = quality.select(docs, table(spark, folder, "labels"))
+    return kept.select("doc_id", "expected_grade", "tail_1", "tail_2")
+
+
+def op6_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    """Benchmark passages found in documents, a row for each document and item."""
+    return decontam.find_passages(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+def op8_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document without lines of repeated three-line windows."""
+    cleaned = linededup.drop_repeated_lines(table(spark, folder, "documents"))
+    return cleaned.select("doc_id", "text", "n_lines", "n_removed")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op2_token_files": op2_token_files,
+    "op5_quality": op5_quality,
+    "op6_decontamination": op6_decontamination,
+    "op8_line_dedup": op8_line_dedup,
 }
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {"op8_line_dedup": linededup.SQL}
 STAGES: list = []
