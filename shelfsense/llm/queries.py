@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfsense.llm import decontam, huffman, linededup, packing, quality
+from shelfsense.llm import decontam, huffman, linededup, packing, quality, setjoin
 from shelfsense.llm.common import new_path
 from shelfsense.sources.tables import table
 
@@ -31,6 +31,11 @@ def op2_token_files(spark: SparkSession, folder: str) -> DataFrame:
     return huffman.read_tokens(spark, path).select("doc_id", "start", n_tokens, F.crc32("ids").alias("ids_crc32"))
 
 
+def op3_jaccard(spark: SparkSession, folder: str) -> DataFrame:
+    """Size of every document's shingle set and the component of its near copies."""
+    return setjoin.jaccard_components(table(spark, folder, "documents"))
+
+
 def op5_quality(spark: SparkSession, folder: str) -> DataFrame:
     """Documents that the quality model keeps, with expected grade and tail probabilities."""
     docs = table(spark, folder, "documents")
@@ -52,6 +57,7 @@ def op8_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op2_token_files": op2_token_files,
+    "op3_jaccard": op3_jaccard,
     "op5_quality": op5_quality,
     "op6_decontamination": op6_decontamination,
     "op8_line_dedup": op8_line_dedup,
