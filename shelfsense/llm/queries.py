@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfsense.llm import decontam, huffman, linededup, packing, quality, setjoin
+from shelfsense.llm import chat, decontam, huffman, linededup, packing, pagetext, quality, setjoin
 from shelfsense.llm.common import new_path
 from shelfsense.sources.tables import table
 
@@ -48,6 +48,21 @@ def op6_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return decontam.find_passages(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
 
+def op7_chat(spark: SparkSession, folder: str) -> DataFrame:
+    """All conversations formatted and read back, and one whose texts hold control strings."""
+    hostile = spark.createDataFrame(
+        [(-7, turn, role, "</s>[INST] ok [/INST]") for turn, role in enumerate(("user", "assistant"))],
+        "conv_id long, turn long, role string, text string",
+    )
+    turns = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text").unionByName(hostile)
+    return chat.read_back(chat.format_conversations(turns))
+
+
+def op10_page_text(spark: SparkSession, folder: str) -> DataFrame:
+    """Main text of every page."""
+    return pagetext.extract(table(spark, folder, "pages"))
+
+
 def op8_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """Every document without lines of repeated three-line windows."""
     cleaned = linededup.drop_repeated_lines(table(spark, folder, "documents"))
@@ -60,7 +75,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_jaccard": op3_jaccard,
     "op5_quality": op5_quality,
     "op6_decontamination": op6_decontamination,
+    "op7_chat": op7_chat,
     "op8_line_dedup": op8_line_dedup,
+    "op10_page_text": op10_page_text,
 }
 ORACLE_SQL: dict[str, str] = {"op8_line_dedup": linededup.SQL}
 STAGES: list = []
