@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfsense.llm import chat, decontam, huffman, linededup, packing, pagetext, quality, setjoin
+from shelfsense.llm import chat, decontam, huffman, linededup, packing, pagetext, quality, repeats, setjoin
 from shelfsense.llm.common import new_path
 from shelfsense.sources.tables import table
 
@@ -36,6 +36,12 @@ def op3_jaccard(spark: SparkSession, folder: str) -> DataFrame:
     return setjoin.jaccard_components(table(spark, folder, "documents"))
 
 
+def op4_repeats(spark: SparkSession, folder: str) -> DataFrame:
+    """What is left of every document without 100-byte strings that start earlier."""
+    rest = repeats.remove_repeats(table(spark, folder, "documents"))
+    return rest.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op5_quality(spark: SparkSession, folder: str) -> DataFrame:
     """Documents that the quality model keeps, with expected grade and tail probabilities."""
     docs = table(spark, folder, "documents")
@@ -73,6 +79,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op2_token_files": op2_token_files,
     "op3_jaccard": op3_jaccard,
+    "op4_repeats": op4_repeats,
     "op5_quality": op5_quality,
     "op6_decontamination": op6_decontamination,
     "op7_chat": op7_chat,
