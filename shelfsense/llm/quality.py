@@ -84,11 +84,11 @@ def fit(rows: list[tuple[np.ndarray, np.ndarray]], grades: np.ndarray, n_grades:
     """
     lengths = np.array([len(ids) for ids, _ in rows])
     ids = np.concatenate([ids for ids, _ in rows]) if rows else np.zeros(0, np.int32)
-    values = SCALE * np.concatenate([v for _, v in rows]).astype(np.float64) if rows else np.zeros(0)
-    row = np.repeat(np.arange(len(rows)), lengths)
+    values = np.concatenate([v for _, v in rows]) if rows else np.zeros(0, np.float32)
+    row = np.repeat(np.arange(len(rows), dtype=np.int32), lengths)
     common = np.bincount(ids, minlength=DIMENSIONS)[ids] >= LEAST_DOCUMENTS
     used, ids = np.unique(ids[common], return_inverse=True)
-    values, row = values[common], row[common]
+    ids, values, row = ids.astype(np.int32), np.float32(SCALE) * values[common], row[common]
     weights = np.zeros(len(used))
     first, gaps = -1.0, np.zeros(n_grades - 2)  # thresholds: first, first + exp(gap), …
     parameters = np.concatenate([weights, [first], gaps])

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfsense.llm import chat, decontam, huffman, linededup, packing, pagetext, quality, repeats, setjoin
+from shelfsense.llm import chat, decontam, huffman, linededup, neighbours, packing, pagetext, quality, repeats, setjoin
 from shelfsense.llm.common import new_path
 from shelfsense.sources.tables import table
 
@@ -64,6 +64,11 @@ def op7_chat(spark: SparkSession, folder: str) -> DataFrame:
     return chat.read_back(chat.format_conversations(turns))
 
 
+def op9_neighbours(spark: SparkSession, folder: str) -> DataFrame:
+    """The 20 nearest vectors found for every 20th vector."""
+    return neighbours.nearest(table(spark, folder, "embeddings"), every=20, k=20)
+
+
 def op10_page_text(spark: SparkSession, folder: str) -> DataFrame:
     """Main text of every page."""
     return pagetext.extract(table(spark, folder, "pages"))
@@ -84,6 +89,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_decontamination": op6_decontamination,
     "op7_chat": op7_chat,
     "op8_line_dedup": op8_line_dedup,
+    "op9_neighbours": op9_neighbours,
     "op10_page_text": op10_page_text,
 }
 ORACLE_SQL: dict[str, str] = {"op8_line_dedup": linededup.SQL}
