@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from shelfsense.llm import chat, decontam, huffman, linededup, neighbours, packing, pagetext, quality, repeats, setjoin
-from shelfsense.llm.common import new_path
+from shelfsense.llm.common import digest, new_path
 from shelfsense.sources.tables import table
 
 
@@ -80,6 +80,59 @@ def op8_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return cleaned.select("doc_id", "text", "n_lines", "n_removed")
 
 
+def _keeping_columns(docs: DataFrame, operator: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """Apply an operator that adds columns, and return the columns of `docs` only; no name can clash."""
+    hidden = {c: f"_own_{i}" for i, c in enumerate(docs.columns) if c not in ("doc_id", "text")}
+    done = operator(docs.withColumnsRenamed(hidden))
+    return done.select(*(F.col(hidden.get(c, c)).alias(c) for c in docs.columns))
+
+
+def quality_stage(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
+    """Documents of the top grade; toxic ones and those of low quality go."""
+    return _keeping_columns(docs, lambda rows: quality.select(rows, table(spark, folder, "labels")))
+
+
+def line_dedup_stage(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
+    """All documents, without repeated three-line windows; `n_chars` follows the text."""
+    cleaned = _keeping_columns(docs, linededup.drop_repeated_lines)
+    if "n_chars" not in docs.columns:
+        return cleaned
+    kind = docs.schema["n_chars"].dataType
+    return cleaned.withColumn("n_chars", F.coalesce(F.char_length("text"), F.lit(0)).cast(kind))
+
+
+def near_copy_stage(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
+    """The document with the smallest id of each component of near copies.
+
+    Of several rows with one id the one with the smallest digest of its text stays; rows without an
+    id are no copies and stay.
+    """
+    found = setjoin.jaccard_components(docs).filter("component_id <> doc_id").select("doc_id").distinct()
+    rest = docs.join(found, "doc_id", "left_anti").select(*docs.columns)
+    alone = F.when(F.col("doc_id").isNull(), F.xxhash64("text"))
+    first = Window.partitionBy("doc_id", alone).orderBy(digest("text"))
+    numbered = rest.withColumn("_row", F.row_number().over(first))
+    return numbered.filter(F.col("doc_id").isNull() | (F.col("_row") == 1)).select(*docs.columns)
+
+
+def decontamination_stage(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
+    """Documents that hold no benchmark passage."""
+    return decontam.drop_contaminated(docs, table(spark, folder, "benchmark"))
+
+
+def packing_stage(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
+    """The windows of 2048 tokens that training reads, a row for each piece."""
+    return packing.pack_documents(docs, _tokenizer("word_bpe_49k.json"), end_id=1)
+
+
+STAGES = [
+    ("quality", quality_stage),
+    ("line_dedup", line_dedup_stage),
+    ("near_copies", near_copy_stage),
+    ("decontamination", decontamination_stage),
+    ("packing", packing_stage),
+]
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op2_token_files": op2_token_files,
@@ -93,4 +146,3 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_page_text": op10_page_text,
 }
 ORACLE_SQL: dict[str, str] = {"op8_line_dedup": linededup.SQL}
-STAGES: list = []
