@@ -28,7 +28,8 @@ LONGEST_CACHED = 40
 # Python takes these four for white space, the tokenizer does not.
 SEPARATORS = re.compile("[\x1c-\x1f]")
 WORD_START = re.compile(r" (?=\S)")
-# Letters and the ASCII marks behind them are merged apart from each other; not so after an apostrophe.
+# Letters and the ASCII marks behind them are merged apart from each other; not so after an apostrophe,
+# and not after U+0130, whose lower case ends with a combining mark.
 MARKED = re.compile(r"([^\W\d_]+)([!-&(-/:-@\[-^`{-~]+)")
 
 # Byte-level files show the bytes that are printable in Latin-1 as themselves, the others from U+0100 on.
@@ -65,12 +66,12 @@ class _Words(dict):
         if self.lead and (not word or word[0].isspace()):
             raise ValueError  # the space before this word belongs to a run of spaces
         marked = MARKED.fullmatch(word)
-        if marked:
+        if marked and "\u0130" not in word:
             letters, marks = marked.groups()
             if marks not in self.marks:
                 self.marks[marks] = self.encode(marks)
             ids = self[letters] + self.marks[marks]
-        elif word.isalpha() and max(word) < "\u0250":
+        elif word.isalpha() and max(word) < "\u0250" and "\u0130" not in word:
             ids = self.encode_letters(word) if self.lead or word.islower() else self[word.lower()]
         else:
             ids = self.encode(self.lead + word)
