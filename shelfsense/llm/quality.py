@@ -82,7 +82,7 @@ def fit(rows: list[tuple[np.ndarray, np.ndarray]], grades: np.ndarray, n_grades:
     With fewer than two grades among the rows the thresholds part them all the same, since absent
     grades get no probability mass beyond the start values.
     """
-    lengths = np.array([len(ids) for ids, _ in rows])
+    lengths = np.array([len(ids) for ids, _ in rows], np.int64)
     ids = np.concatenate([ids for ids, _ in rows]) if rows else np.zeros(0, np.int32)
     values = np.concatenate([v for _, v in rows]) if rows else np.zeros(0, np.float32)
     row = np.repeat(np.arange(len(rows), dtype=np.int32), lengths)
