@@ -1,10 +1,8 @@
 """Co-review graph, PageRank and HITS.
 
-Two products are neighbours when one customer reviewed both. Customers with few products give
-explicit edges. A customer with very many products would give a quadratic number of them, so such
-hot customers stay implicit: products that the same set of hot customers reviewed form a class,
-and classes are linked when they share a hot customer. Sums over neighbours then go through the
-classes. This is exact, and the pairs made stay linear in the reviews of ordinary customers.
+Two products are neighbours when one customer reviewed both. The products of a customer are cut into
+tiles of about `TILE_PRODUCTS`; a pair of tiles is the unit of work that makes edges, so a customer
+with very many products is spread over tasks. An ordinary customer has one tile.
 """
 
 from __future__ import annotations
@@ -14,137 +12,83 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfsense.session import cut_lineage, cut_lineage_keeping_layout, shuffle_partitions
+from shelfsense.session import Rounds, cut_lineage, cut_lineage_keeping_layout, shuffle_partitions
 
-HOT_CUSTOMER_PRODUCTS = 1_000
+TILE_PRODUCTS = 200
+# The edges of a product lie in so many parts, and its value is sent to each: a hub is split in every round.
+HUB_PARTS = 4
+
+
+class NotConverged(RuntimeError):
+    """An iteration reached its last round before its tolerance."""
 
 
 @dataclass(frozen=True)
 class CoReviewGraph:
-    edges: DataFrame  # src, dst; both directions, none that the classes already cover
-    classes: DataFrame  # id, class; products of hot customers
-    links: DataFrame  # class, other; both directions and every class with itself
+    edges: DataFrame  # src, dst; both directions, each once
 
 
 def _memberships(reviews: DataFrame) -> DataFrame:
-    return (
-        reviews.select("customer_id", "product_id")
-        .dropna()
-        .groupBy("customer_id", "product_id")
-        .agg(F.lit(1).alias("one"))
-        .drop("one")
-    )
+    return reviews.select("customer_id", "product_id").dropna().distinct()
 
 
-def _pairs_within_customers(memberships: DataFrame) -> DataFrame:
-    """Distinct pairs src < dst of products that share a customer with a bounded product list."""
-    lists = memberships.groupBy("customer_id").agg(F.sort_array(F.collect_list("product_id")).alias("ids"))
-    return (
-        lists.select("ids", F.posexplode("ids").alias("position", "src"))
-        .select("src", F.explode(F.slice("ids", F.col("position") + 2, F.size("ids"))).alias("dst"))
-        .distinct()
-    )
-
+def co_review_graph(reviews: DataFrame, tile_products: int = TILE_PRODUCTS) -> CoReviewGraph:
+    """Graph of products reviewed by the same customers, for tiles of any size.
 
-def _both_directions(pairs: DataFrame) -> DataFrame:
-    ways = F.array(F.struct("src", "dst"), F.struct(F.col("dst").alias("src"), F.col("src").alias("dst")))
-    return pairs.select(F.inline(ways))
-
-
-def co_review_graph(reviews: DataFrame, hot_products: int = HOT_CUSTOMER_PRODUCTS) -> CoReviewGraph:
-    """Graph of products reviewed by the same customers."""
-    memberships = _memberships(reviews)
-    hot = (
-        memberships.groupBy("customer_id")
-        .agg(F.count("*").alias("products"))
-        .filter(F.col("products") > hot_products)
-        .select("customer_id")
+    The memberships are stored, as both the sizes and the tiles read them; so are the edges.
+    """
+    memberships = cut_lineage(_memberships(reviews))
+    tiles = memberships.groupBy("customer_id").agg(F.ceil(F.count("*") / tile_products).cast("int").alias("tiles"))
+    tile = F.pmod(F.xxhash64("product_id"), F.col("tiles")).cast("int")
+    lists = (
+        memberships.join(tiles.filter("tiles > 1"), "customer_id", "left")
+        .select("customer_id", "product_id", F.coalesce("tiles", F.lit(1)).alias("tiles"), F.coalesce(tile, F.lit(0)).alias("tile"))
+        .groupBy("customer_id", "tiles", "tile")
+        .agg(F.collect_list("product_id").alias("ids"))
     )
-    hot_memberships = memberships.join(hot, "customer_id", "left_semi")
-    # Two hash sums and a count stand for the set of hot customers of a product.
-    hashes = [F.xxhash64("customer_id", F.lit(seed)).cast("decimal(20,0)") for seed in (1, 2)]
-    signature = F.struct(F.sum(hashes[0]), F.sum(hashes[1]), F.count("*"))
-    classes = hot_memberships.groupBy(F.col("product_id").alias("id")).agg(
-        F.sha2(F.to_json(signature), 256).alias("class")
+    partner = F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)).alias("other")
+    sent = lists.select("customer_id", "tile", "ids", partner).select(
+        "customer_id", F.least("tile", "other").alias("low"), F.greatest("tile", "other").alias("high"), "tile", "ids"
     )
-    reached = (
-        hot_memberships.join(classes.withColumnRenamed("id", "product_id"), "product_id")
-        .select("customer_id", "class")
+    # At most two lists meet in a pair of tiles; one alone is a tile with itself, or next to an empty one.
+    low = F.max(F.when(F.col("tile") == F.col("low"), F.col("ids"))).alias("left")
+    high = F.max(F.when(F.col("tile") == F.col("high"), F.col("ids"))).alias("right")
+    met = sent.groupBy("customer_id", "low", "high").agg(low, high).filter(F.col("left").isNotNull() & F.col("right").isNotNull())
+    pairs = (
+        met.select(F.explode("left").alias("a"), "right")
+        .select("a", F.explode("right").alias("b"))
+        .filter(F.col("a") != F.col("b"))
+        .select(F.least("a", "b").alias("src"), F.greatest("a", "b").alias("dst"))
         .distinct()
     )
-    links = (
-        reached.join(reached.withColumnRenamed("class", "other"), "customer_id")
-        .select("class", "other")
-        .distinct()
-    )
-    cold_pairs = _pairs_within_customers(memberships.join(hot, "customer_id", "left_anti"))
-    uncovered = (
-        cold_pairs.join(classes.select(F.col("id").alias("src"), F.col("class")), "src", "left")
-        .join(classes.select(F.col("id").alias("dst"), F.col("class").alias("other")), "dst", "left")
-        .join(links, ["class", "other"], "left_anti")
-        .select("src", "dst")
-    )
-    return CoReviewGraph(_both_directions(uncovered), classes, links)
+    ways = F.array(F.struct("src", "dst"), F.struct(F.col("dst").alias("src"), F.col("src").alias("dst")))
+    return CoReviewGraph(cut_lineage(pairs.select(F.inline(ways))))
 
 
 def co_review_edges(graph: CoReviewGraph) -> DataFrame:
-    """The full edge list (src, dst) in both directions, with the implicit edges written out."""
-    members = graph.classes
-    implicit = (
-        graph.links.join(members.select(F.col("id").alias("src"), "class"), "class")
-        .join(members.select(F.col("id").alias("dst"), F.col("class").alias("other")), "other")
-        .filter(F.col("src") != F.col("dst"))
-        .select("src", "dst")
-    )
-    return graph.edges.unionByName(implicit)
+    """The full edge list (src, dst) in both directions."""
+    return graph.edges
 
 
-def materialise(graph: CoReviewGraph) -> CoReviewGraph:
-    """Store the graph once, edges partitioned and sorted by source, for all rounds of a loop."""
+def _laid_out(graph: CoReviewGraph) -> DataFrame:
+    """Edges (src, part, dst) stored once in the layout that every round joins on."""
+    part = F.pmod(F.xxhash64("dst"), F.lit(HUB_PARTS)).cast("int").alias("part")
     parts = shuffle_partitions(graph.edges.sparkSession)
-    classes = cut_lineage(graph.classes)
-    links = cut_lineage(graph.links)
-    edges = graph.edges.repartition(parts, "src").sortWithinPartitions("src")
-    return CoReviewGraph(cut_lineage_keeping_layout(edges), classes, links)
+    edges = graph.edges.select("src", part, "dst").repartition(parts, "src", "part").sortWithinPartitions("src", "part")
+    return cut_lineage_keeping_layout(edges)
 
 
-def neighbour_sums(graph: CoReviewGraph, values: DataFrame, has_classes: bool = True) -> DataFrame:
+def neighbour_sums(edges: DataFrame, values: DataFrame) -> DataFrame:
     """For every product the sum of `value` over its neighbours: (id, value) → (id, total)."""
-    sent = (
-        graph.edges.join(values.withColumnRenamed("id", "src"), "src")
-        .groupBy(F.col("dst").alias("id"))
-        .agg(F.sum("value").alias("total"))
-    )
-    if not has_classes:
-        return sent
-    members = graph.classes.join(values, "id")
-    mass = members.groupBy("class").agg(F.sum("value").alias("mass"))
-    received = (
-        graph.links.join(mass.withColumnRenamed("class", "other"), "other")
-        .groupBy("class")
-        .agg(F.sum("mass").alias("mass"))
+    spread = values.select(
+        F.col("id").alias("src"), "value", F.explode(F.array(*map(F.lit, range(HUB_PARTS)))).alias("part")
     )
-    # A class is linked to itself, so a product must not count its own value.
-    implicit = members.join(received, "class").select("id", (F.col("mass") - F.col("value")).alias("total"))
-    return sent.unionByName(implicit).groupBy("id").agg(F.sum("total").alias("total"))
+    return edges.join(spread, ["src", "part"]).groupBy(F.col("dst").alias("id")).agg(F.sum("value").alias("total"))
 
 
 def degrees(graph: CoReviewGraph) -> DataFrame:
     """Number of neighbours of every product that has one."""
-    explicit = graph.edges.groupBy(F.col("src").alias("id")).agg(F.count("*").alias("degree"))
-    sizes = graph.classes.groupBy("class").agg(F.count("*").alias("size"))
-    reach = (
-        graph.links.join(sizes.withColumnRenamed("class", "other"), "other")
-        .groupBy("class")
-        .agg(F.sum("size").alias("reach"))
-    )
-    implicit = graph.classes.join(reach, "class").select("id", (F.col("reach") - 1).alias("degree"))
-    return (
-        explicit.unionByName(implicit)
-        .groupBy("id")
-        .agg(F.sum("degree").cast("long").alias("degree"))
-        .filter(F.col("degree") > 0)
-    )
+    return graph.edges.groupBy(F.col("src").alias("id")).agg(F.count("*").alias("degree"))
 
 
 def graph_stats(graph: CoReviewGraph) -> DataFrame:
@@ -160,55 +104,55 @@ def pagerank(
     """PageRank (id, rank) from a uniform start, until the L1 change is below nodes · tol.
 
     Edges run both ways, so every node has one and no rank is lost at a dead end. A round is one
-    join on the stored partitioning of the edges and one partially aggregated shuffle; only the
-    L1 change comes back to the driver. An empty graph gives an empty result.
+    join on the stored layout of the edges and one partially aggregated shuffle; only the L1 change
+    comes back to the driver. An empty graph gives an empty result; `NotConverged` is raised if
+    `max_iter` rounds do not reach the tolerance.
     """
-    graph = materialise(graph)
-    has_classes = not graph.classes.isEmpty()
+    edges = _laid_out(graph)
+    rounds = Rounds(edges.sparkSession)
     nodes = cut_lineage(degrees(graph))
     n = nodes.count()
-    current = nodes.select("id", "degree", F.lit(1.0 / max(n, 1)).alias("rank"), F.lit(0.0).alias("change"))
-    for _ in range(max_iter if n else 0):
+    if not n:
+        return nodes.select("id", F.lit(0.0).alias("rank"))
+    current = nodes.select("id", "degree", F.lit(1.0 / n).alias("rank"))
+    for _ in range(max_iter):
         shares = current.select("id", (F.col("rank") / F.col("degree")).alias("value"))
         rank = (1.0 - damping) / n + damping * F.coalesce("total", F.lit(0.0))
         updated = (
             current.select("id", "degree", F.col("rank").alias("previous"))
-            .join(neighbour_sums(graph, shares, has_classes), "id", "left")
+            .join(neighbour_sums(edges, shares), "id", "left")
             .select("id", "degree", rank.alias("rank"), F.abs(rank - F.col("previous")).alias("change"))
         )
-        current = cut_lineage(updated)
+        current = rounds.store(updated)
         if current.agg(F.sum("change")).first()[0] < n * tol:
-            break
-    return current.select("id", "rank")
+            return current.select("id", "rank")
+    raise NotConverged(f"PageRank did not converge in {max_iter} rounds")
 
 
 def hits(graph: CoReviewGraph, max_iter: int = 100, tol: float = 1e-8) -> DataFrame:
     """Hub and authority scores (id, hub, authority), each summing to 1.
 
-    Both half steps of a round sum over neighbours, as every edge has its reverse.
+    Both half steps of a round sum over neighbours, as every edge has its reverse. `NotConverged` is
+    raised if `max_iter` rounds do not reach the tolerance.
     """
-    graph = materialise(graph)
-    has_classes = not graph.classes.isEmpty()
+    edges = _laid_out(graph)
+    rounds = Rounds(edges.sparkSession)
     nodes = cut_lineage(degrees(graph).select("id"))
     n = nodes.count()
-    current = nodes.select(
-        "id", F.lit(1.0 / max(n, 1)).alias("hub"), F.lit(1.0 / max(n, 1)).alias("authority"), F.lit(0.0).alias("change")
-    )
-    for _ in range(max_iter if n else 0):
-        authority = cut_lineage(
-            neighbour_sums(graph, current.select("id", F.col("hub").alias("value")), has_classes)
+    current = nodes.select("id", F.lit(1.0 / max(n, 1)).alias("hub"), F.lit(1.0 / max(n, 1)).alias("authority"))
+    if not n:
+        return current
+    for _ in range(max_iter):
+        authority = neighbour_sums(edges, current.select("id", F.col("hub").alias("value"))).withColumnRenamed("total", "authority")
+        hub = neighbour_sums(edges, authority.select("id", F.col("authority").alias("value")))
+        # One table for the round; scores are divided by their sums when they are read.
+        raw = rounds.store(
+            current.select("id", F.col("hub").alias("previous")).join(authority, "id").join(hub.withColumnRenamed("total", "hub"), "id")
         )
-        hub = cut_lineage(
-            neighbour_sums(graph, authority.select("id", F.col("total").alias("value")), has_classes)
-        )
-        sums = authority.agg(F.sum("total")).first()[0], hub.agg(F.sum("total")).first()[0]
-        updated = (
-            current.select("id", F.col("hub").alias("previous"))
-            .join(authority.select("id", (F.col("total") / sums[0]).alias("authority")), "id")
-            .join(hub.select("id", (F.col("total") / sums[1]).alias("hub")), "id")
-            .select("id", "hub", "authority", F.abs(F.col("hub") - F.col("previous")).alias("change"))
+        sums = raw.agg(F.sum("authority").alias("authority"), F.sum("hub").alias("hub")).first()
+        current = raw.select(
+            "id", "previous", (F.col("hub") / sums["hub"]).alias("hub"), (F.col("authority") / sums["authority"]).alias("authority")
         )
-        current = cut_lineage(updated)
-        if current.agg(F.sum("change")).first()[0] < tol:
-            break
-    return current.select("id", "hub", "authority")
+        if current.agg(F.sum(F.abs(F.col("hub") - F.col("previous")))).first()[0] < tol:
+            return current.select("id", "hub", "authority")
+    raise NotConverged(f"HITS did not converge in {max_iter} rounds")

@@ -127,6 +127,12 @@ steps(it, id, rank, change) AS (
     WHERE p.change >= n * 1e-6::DOUBLE AND p.it < 100)),
 ranks AS (SELECT id, rank FROM steps WHERE it = (SELECT max(it) FROM steps))"""
 
+# Orders as customers, and one more customer for all products of a category.
+HOT_PAGERANK = PAGERANK.replace(
+    "members AS (SELECT DISTINCT customer_id, product_id FROM reviews)",
+    "members AS (SELECT ord1 AS customer_id, product_id FROM reviews UNION SELECT -1, product_id FROM reviews WHERE product_category = 'ECONOMY')",
+)
+
 HITS_ROUNDS = 14
 HITS = f"""{GRAPH},
 steps(it, id, hub, authority) AS (
@@ -388,7 +394,7 @@ top AS (SELECT term, count(*) AS term_count FROM words GROUP BY term ORDER BY te
   CAST(sum(dst) AS BIGINT) AS id_sum, CAST(sum(dst * dst) AS BIGINT) AS id_square_sum FROM edges GROUP BY src"""),
         "graph_stats": _with(GRAPH, "SELECT count(*) AS nodes, CAST(sum(degree) AS BIGINT) AS edges FROM degrees"),
         "pagerank": _with(PAGERANK, page_rank),
-        "pagerank_hot_customers": _with(PAGERANK, page_rank),
+        "pagerank_hot_customers": _with(HOT_PAGERANK, page_rank),
         "hits": _with(HITS, f"SELECT id, round(hub, 7) AS hub, round(authority, 7) AS authority FROM steps WHERE it = {HITS_ROUNDS}"),
         "fused_search": _with(
             f"{search_rows}, {PAGERANK}, {INDEX_OF_REVIEWS}, {_bm25('product_id', 20)}, {_fused(10, 4)},"

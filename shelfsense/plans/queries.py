@@ -242,9 +242,11 @@ def pagerank(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def pagerank_hot_customers(spark: SparkSession, folder: str) -> DataFrame:
-    """The same ranks with busy customers kept implicit."""
-    hot = graph.co_review_graph(interactions(spark, folder), hot_products=55)
-    return _rounded(graph.pagerank(hot), "rank", digits=8)
+    """Ranks of a sparse graph with a hot key: orders as customers, and one customer for all parts of one brand and type."""
+    rated = interactions(spark, folder)
+    by_order = rated.select(F.col("ord1").alias("customer_id"), "product_id")
+    hot = rated.filter(F.col("product_category") == F.lit("ECONOMY")).select(F.lit(-1).cast("long"), "product_id")
+    return _rounded(graph.pagerank(graph.co_review_graph(by_order.unionAll(hot), tile_products=50)), "rank", digits=8)
 
 
 def hits(spark: SparkSession, folder: str) -> DataFrame:

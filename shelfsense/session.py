@@ -56,6 +56,28 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+class Rounds:
+    """Tables of a loop, one for each round; the round before is dropped once the next is stored."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+        self.folder = f"{checkpoint_dir(spark)}/shelfsense-{uuid.uuid4().hex}"
+        self.n = 0
+
+    def store(self, df: DataFrame) -> DataFrame:
+        path = f"{self.folder}/{self.n}"
+        df.write.parquet(path)
+        if self.n:
+            self._drop(f"{self.folder}/{self.n - 1}")
+        self.n += 1
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def _drop(self, path: str) -> None:
+        jvm = self.spark._jvm
+        old = jvm.org.apache.hadoop.fs.Path(path)
+        old.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(old, True)
+
+
 def cut_lineage_keeping_layout(df: DataFrame) -> DataFrame:
     """Checkpoint `df` and keep its partitioning and order, for joins on the same key in a loop."""
     checkpoint_dir(df.sparkSession)

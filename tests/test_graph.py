@@ -54,10 +54,10 @@ def test_pagerank_on_a_path(spark):
     assert ranks == pytest.approx(dense_pagerank(brute_edges(PATH)), abs=1e-9)
 
 
-@pytest.mark.parametrize("hot_products", [3, 10, 1000])
-def test_hot_customers_change_no_result(spark, hot_products):
+@pytest.mark.parametrize("tile_products", [1, 3, 10, 1000])
+def test_tiles_change_no_result(spark, tile_products):
     pairs = random_pairs()
-    built = graph.co_review_graph(reviews(spark, pairs), hot_products)
+    built = graph.co_review_graph(reviews(spark, pairs), tile_products)
     edges = [tuple(r) for r in graph.co_review_edges(built).collect()]
     assert len(edges) == len(set(edges)) and set(edges) == brute_edges(pairs)
     assert tuple(graph.graph_stats(built).first()) == (len({a for a, _ in edges}), len(edges))
@@ -80,3 +80,11 @@ def test_hits_on_a_triangle_with_a_pendant(spark):
 def test_empty_graph_gives_empty_scores(spark):
     built = graph.co_review_graph(reviews(spark, [("c", "p")]))
     assert graph.pagerank(built).collect() == [] and graph.hits(built).collect() == []
+
+
+def test_too_few_rounds_are_reported(spark):
+    built = graph.co_review_graph(reviews(spark, random_pairs()))
+    with pytest.raises(graph.NotConverged):
+        graph.pagerank(built, max_iter=1, tol=1e-12)
+    with pytest.raises(graph.NotConverged):
+        graph.hits(built, max_iter=1, tol=1e-12)
