@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
-from html.entities import name2codepoint
+from html.entities import html5
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -20,13 +21,22 @@ HIDDEN_ELEMENTS = (
     r"(?is)<template\b.*?</template\s*>",
     r"(?s)<!--.*?-->",
 )
-TAG = r"(?s)<[/!?A-Za-z][^>]*>"
+# A tag ends at the first > outside a quoted value; without a closing quote, at the first >.
+INSIDE_TAG = r"""(?:[^>=]++|=\s*+(?:"[^"]*+"|'[^']*+')|=)*+>"""
+TAG = r"(?s)<[/!?A-Za-z]" + INSIDE_TAG
 BREAK = "\x01"
 BREAK_RUN = f"[{SPACE}]*\x01[{SPACE}\x01]*"
 OUTER_SPACE = f"^[{SPACE}]+|[{SPACE}]+$"
-TITLE = r"(?is)<title\b[^>]*>(.*?)</title"
-ANCHOR = r"""(?is)<a\s(?:[^>]*?\s)?href\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)"""
-ENTITY = r"&(?:#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]*);"
+TITLE = r"(?is)<title\b" + INSIDE_TAG + "(.*?)</title"
+ANCHOR_TAG = r"(?is)<a[\s/]" + INSIDE_TAG
+VALUE = r"""("[^"]*"|'[^']*'|[^\s>]*)"""
+OTHER_ATTRIBUTE = r"""[\s/]*+(?!href[\s=])[^\s=>/]++(?:\s*+=\s*+(?:"[^"]*+"|'[^']*+'|[^\s>]*+))?+"""
+HREF = rf"(?is)^<a(?:{OTHER_ATTRIBUTE})*+[\s/]*+href\s*+=\s*+{VALUE}"
+# Old names count without a semicolon; of those the longest is meant.
+OLD_NAMES = sorted((name for name in html5 if not name.endswith(";")), key=lambda name: (-len(name), name))
+OLD_NAME = "&(" + "|".join(OLD_NAMES) + ")"
+ENTITY = "(?:&#[0-9]+;?|&#[xX][0-9a-fA-F]+;?|&[A-Za-z][A-Za-z0-9]*;|" + OLD_NAME.replace("(", "(?:") + ")"
+REPLACEMENT = "\ufffd"
 
 
 def bind(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -90,53 +100,70 @@ def resolve_url(base: Column, link: Column) -> Column:
 
 
 def _code_point(digits: Column, base: int) -> Column:
-    return F.decode(F.unhex(F.lpad(F.conv(digits, base, 16), 8, "0")), "UTF-32")
+    """Character of a numeric reference. What is no character becomes U+FFFD; 128 to 159 are read as Windows-1252."""
+    number = F.conv(digits, base, 10).cast("decimal(20,0)")
+    wrong = (number == 0) | number.between(0xD800, 0xDFFF) | (number > 0x10FFFF)
+    old = [bytes([code]).decode("cp1252", "replace") for code in range(128, 160)]
+    return (
+        F.when(wrong | number.isNull(), REPLACEMENT)
+        .when(number.between(128, 159), F.element_at(F.array(*map(F.lit, old)), (number - 127).cast("int")))
+        .otherwise(F.decode(F.unhex(F.lpad(F.conv(digits, base, 16), 8, "0")), "UTF-32"))
+    )
 
 
 def unescape(text: Column) -> Column:
-    """Replace named and numeric character references.
+    """Replace named and numeric character references, each once: what a reference gives is not read again.
 
-    The references of a text are few and repeat, so each distinct one is replaced once;
-    `&amp;` comes last because what it uncovers must stay as it is.
+    An unknown name that begins with an old one keeps its rest, as browsers read it.
     """
-    named = F.create_map(*[F.lit(x) for name, code in name2codepoint.items() for x in (f"&{name};", chr(code))])
+    names = {f"&{name}": value for name, value in html5.items()}
+    named = F.from_json(F.lit(json.dumps(names)), "map<string,string>")
 
     def replacement(entity: Column) -> Column:
-        decimal = F.regexp_extract(entity, "^&#([0-9]+);$", 1)
-        hexadecimal = F.regexp_extract(entity, "^&#[xX]([0-9a-fA-F]+);$", 1)
+        decimal = F.regexp_extract(entity, "^&#([0-9]+);?$", 1)
+        hexadecimal = F.regexp_extract(entity, "^&#[xX]([0-9a-fA-F]+);?$", 1)
+        known = F.try_element_at(named, entity)
+        old = F.regexp_extract(entity, "^" + OLD_NAME, 0)
         return (
             F.when(decimal != "", _code_point(decimal, 10))
             .when(hexadecimal != "", _code_point(hexadecimal, 16))
-            .otherwise(F.coalesce(F.try_element_at(named, entity), entity))
+            .when(known.isNotNull(), known)
+            .when(old != "", F.concat(F.try_element_at(named, old), F.substring(entity, F.length(old) + 1, F.length(entity))))
+            .otherwise(entity)
         )
 
     def replaced(text: Column) -> Column:
-        found = F.array_distinct(F.regexp_extract_all(text, F.lit(ENTITY), F.lit(0)))
-        others = F.filter(found, lambda entity: entity != "&amp;")
-        plain = F.aggregate(others, text, lambda done, entity: F.replace(done, entity, replacement(entity)))
-        return F.replace(plain, F.lit("&amp;"), F.lit("&"))
+        found = F.regexp_extract_all(text, F.lit(ENTITY), F.lit(0))
+        between = F.split(text, ENTITY, -1)
+        given = F.concat(F.array(F.lit("")), F.transform(found, replacement))
+        return F.array_join(F.zip_with(given, between, lambda one, rest: F.concat(one, rest)), "")
 
     return bind(text, lambda bound: F.when(bound.contains("&"), replaced(bound)).otherwise(bound))
 
 
+def without_hidden(html: Column) -> Column:
+    """Markup without scripts, styles, templates and comments."""
+    for pattern in HIDDEN_ELEMENTS:
+        html = F.regexp_replace(html, pattern, BREAK)
+    return html
+
+
 def visible_text(html: Column) -> Column:
     """Text of a page: no scripts, styles, comments; pieces between tags joined by one blank."""
-    text = html
-    for pattern in HIDDEN_ELEMENTS:
-        text = F.regexp_replace(text, pattern, BREAK)
-    text = unescape(F.regexp_replace(text, TAG, BREAK))
+    text = unescape(F.regexp_replace(without_hidden(html), TAG, BREAK))
     return strip(F.regexp_replace(text, BREAK_RUN, " "))
 
 
 def page_title(html: Column, url: Column) -> Column:
     """Title of a page, or its URL where there is none."""
-    title = unescape(F.regexp_extract(html, TITLE, 1))
+    title = unescape(F.regexp_extract(without_hidden(html), TITLE, 1))
     return F.when(title != "", title).otherwise(url)
 
 
 def page_links(html: Column) -> Column:
     """The href of every anchor, in page order, as written."""
-    return F.regexp_extract_all(html, F.lit(ANCHOR), F.lit(1))
+    anchors = F.regexp_extract_all(without_hidden(html), F.lit(ANCHOR_TAG), F.lit(0))
+    return F.filter(F.transform(anchors, lambda tag: F.regexp_extract(tag, HREF, 1)), lambda href: href != "")
 
 
 def unquote_link(link: Column) -> Column:

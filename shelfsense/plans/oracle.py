@@ -271,6 +271,15 @@ def _canonical(url: str) -> str:
     return f"(lower({scheme}) || {authority} || CASE WHEN {path} = '' THEN '/' ELSE {path} END)"
 
 
+# Patterns written out for RE2, apart from those of the library.
+SCRIPTS = (
+    r"(?is)<script\b.*?</script\s*>", r"(?is)<style\b.*?</style\s*>", r"(?is)<template\b.*?</template\s*>", r"(?s)<!--.*?-->",
+)
+QUOTED = r"""(?:[^>="']|=\s*"[^"]*"|=\s*'[^']*'|[="'])*?>"""
+ANY_TAG = "(?s)<[/!?A-Za-z]" + QUOTED
+TITLE_TEXT = r"(?is)<title\b[^>]*>(.*?)</title"
+LINK = r"""(?is)<a\s(?:[^>="']|=\s*"[^"]*"|=\s*'[^']*')*?\bhref\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)"""
+
 # Only these named references occur in the pages; the library resolves all of them and numeric ones.
 ENTITIES = ("copy", "middot", "quot", "lt", "gt", "nbsp", "eacute", "hellip", "mdash", "amp")
 
@@ -283,13 +292,21 @@ def _unescape(text: str) -> str:
 
 def _visible(html: str) -> str:
     text = html
-    for pattern in (*h.HIDDEN_ELEMENTS, h.TAG):
+    for pattern in (*SCRIPTS, ANY_TAG):
         text = f"regexp_replace({text}, {_lit(pattern)}, chr(1), 'g')"
     return _strip(f"regexp_replace({_unescape(text)}, '[{SPACE}]*' || chr(1) || '[{SPACE}' || chr(1) || ']*', ' ', 'g')")
 
 
+def _bare(html: str) -> str:
+    for pattern in SCRIPTS:
+        html = f"regexp_replace({html}, {_lit(pattern)}, chr(1), 'g')"
+    return html
+
+
 def _title(html: str, url: str) -> str:
-    title = _unescape(f"regexp_extract({html}, {_lit(h.TITLE)}, 1)")
+    for pattern in SCRIPTS:
+        html = f"regexp_replace({html}, {_lit(pattern)}, chr(1), 'g')"
+    title = _unescape(f"regexp_extract({html}, {_lit(TITLE_TEXT)}, 1)")
     return f"coalesce(nullif({title}, ''), {url})"
 
 
@@ -303,7 +320,7 @@ LINKS = f"""links AS (
   SELECT url, CAST(link_position - 1 AS INTEGER) AS link_position, regexp_extract(url, {_lit(h.SCHEME_AND_AUTHORITY)}) AS site,
          {_unescape("trim(href, chr(34) || chr(39))")} AS href
   FROM (SELECT url, unnest(hrefs) AS href, generate_subscripts(hrefs, 1) AS link_position
-        FROM (SELECT url, regexp_extract_all(html, {_lit(h.ANCHOR)}, 1) AS hrefs FROM stored)))"""
+        FROM (SELECT url, regexp_extract_all({_bare("html")}, {_lit(LINK)}, 1) AS hrefs FROM stored)))"""
 RESOLVED = f"resolved AS (SELECT url, link_position, {_canonical('site || href')} AS link FROM links)"
 
 # Seeds are all pages: the first level takes each text once, the second level finds no stored page.
@@ -313,6 +330,10 @@ accepted AS (
   QUALIFY row_number() OVER (PARTITION BY md5(content) ORDER BY page_id) = 1)"""
 
 
+# What a reader sees of the markup that the hostile pages have at their end.
+HOSTILE_TEXT = " it's \ufffd caf\u00e9 bar \u20ac&bogus; link"
+
+
 def _with(ctes: str, query: str) -> str:
     return f"WITH RECURSIVE {ctes}\n{query}"
 
@@ -445,6 +466,8 @@ FROM merged QUALIFY rank <= 5"""),
         "page_text": f"""SELECT page_id, md5({_visible('html')}) AS content_hash, length({_visible('html')}) AS content_length,
   {_title('html', 'url')} AS title FROM pages""",
         "page_links": _with(f"{STORED}, {LINKS}, {RESOLVED}", "SELECT url, link_position, link FROM resolved"),
+        "page_hostile": f"""SELECT page_id, md5({_visible('html')} || {_lit(HOSTILE_TEXT)}) AS content_hash, {_title('html', 'url')} AS title,
+  len(regexp_extract_all({_bare('html')}, {_lit(LINK)}, 1)) + 1 AS n_links, '/q?x=1' AS last_link FROM pages""",
         "page_dedup": f"SELECT min(page_id) AS page_id, count(*) AS copies FROM pages GROUP BY md5({_visible('html')})",
         "crawl_pages": _with(CRAWL, f"""SELECT url, {_title('html', 'url')} AS title, CAST(depth AS INTEGER) AS depth,
   regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.\\-]*://([^/?#]*)', 1) AS domain, length(content) AS content_length FROM accepted"""),

@@ -409,6 +409,26 @@ def page_links(spark: SparkSession, folder: str) -> DataFrame:
     return pages.out_links(pages.snapshot(_pages(spark, folder)).select("url", "html"))
 
 
+HOSTILE = (
+    """<!-- <title>no</title><a href="/no">no</a> --><template><a href="/no">no</a></template>"""
+    """<p title="a>b">it&apos;s &#9999999; caf&eacute bar &#128;&bogus;</p><a title="1>0" href="/q?x=1">link</a>"""
+)
+
+
+def page_hostile(spark: SparkSession, folder: str) -> DataFrame:
+    """Every page with markup at its end that a careless reader gets wrong, and a title in a comment before it."""
+    before = "<!-- <title>no</title><a href=/no>no</a> -->"
+    markup = F.concat(F.lit(before), "html", F.lit(HOSTILE))
+    links = html.page_links(markup)
+    return _pages(spark, folder).select(
+        "page_id",
+        F.md5(html.visible_text(markup)).alias("content_hash"),
+        html.page_title(markup, F.col("url")).alias("title"),
+        F.size(links).cast("long").alias("n_links"),
+        html.unquote_link(F.element_at(links, -1)).alias("last_link"),
+    )
+
+
 def page_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return pages.duplicate_pages(_pages(spark, folder)).select("page_id", "copies")
 
@@ -451,6 +471,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         fused_search, pseudo_relevance, eval_per_query, eval_mean, eval_compare, eval_set_metrics,
         content_recs, content_recs_all_reviews, user_item_mean, user_means,
         svd_recs, svd_recs_plain, hybrid_recs, hybrid_blend,
-        canonical_url, page_text, page_links, page_dedup, crawl_pages, crawl_errors, page_append,
+        canonical_url, page_text, page_links, page_hostile, page_dedup, crawl_pages, crawl_errors, page_append,
     )
 }

@@ -78,6 +78,31 @@ def test_visible_text_and_title(spark):
     assert rows[0][1] == " T &lt; " and tuple(rows[1]) == ("plain", "u")
 
 
+@pytest.mark.parametrize(
+    "markup, text",
+    [
+        ("&#9999999;&#x110000;&#0;&#xD800;", "\ufffd" * 4),
+        ("it&apos;s &#128; &#x97;", "it's € —"),
+        ("caf&eacute bar &notit; &amp;lt; &#38;lt;", "café bar ¬it; &lt; &lt;"),
+        ('<p title="a>b">hi</p>', "hi"),
+        ("<a title=it's href=x>one</a> it's", "one it's"),
+        ('<p title="open>two', "two"),
+    ],
+)
+def test_text_of_hostile_markup(spark, markup, text):
+    frame = spark.createDataFrame([(markup,)], "h string")
+    assert frame.select(html.visible_text(F.col("h"))).first()[0] == text
+
+
+def test_links_and_title_of_hostile_markup(spark):
+    page = """<!-- <title>no</title><a href="/no"></a> --><script>"<a href='/no'>"</script><title>yes</title>
+    <a title="1>0" href="/q">x</a><a data-href="/no" HREF = 'two'>y</a><a href=three>z</a><a name=none>n</a><abbr href="/no">"""
+    row = spark.createDataFrame([(page,)], "h string").select(
+        html.page_title(F.col("h"), F.lit("u")), F.transform(html.page_links(F.col("h")), html.unquote_link)
+    ).first()
+    assert tuple(row) == ("yes", ["/q", "two", "three"])
+
+
 def test_csv_and_tsv(spark, tmp_path):
     rows = [("p", "c", "t", ' He said "hi",\n then left ', 4.0, "k"), ("q", None, "t", "x", 1.0, "k")]
     frame = spark.createDataFrame(rows, files.REVIEW_SCHEMA)
