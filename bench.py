@@ -34,7 +34,7 @@ def main() -> None:
     names = [name for name in os.environ.get("BENCH_QUERIES", "").split(",") if name] or list(HEADLINE)
     spark = build_session(
         "bench", f"local[{cpus}]", spark__sql__shuffle__partitions=str(2 * int(cpus)), spark__ui__enabled="false",
-        spark__driver__memory="16g",
+        spark__driver__memory="16g", spark__shelfsense__scan__partitions=cpus,
     )
     spark.sparkContext.setLogLevel("ERROR")
     path = f"{checkpoint_dir(spark)}/bench-index-{os.getpid()}"

@@ -53,7 +53,7 @@ def fit_classifier(
         Normalizer(p=2.0, inputCol="tfidf", outputCol="features"),
         StringIndexer(inputCol=label, outputCol="target", stringOrderType="alphabetAsc"),
         LogisticRegression(
-            featuresCol="features", labelCol="target", maxIter=max_iter, tol=1e-3,
+            featuresCol="features", labelCol="target", maxIter=max_iter, tol=1e-6,
             # Inverse regularisation strength 1 over summed losses, expressed for mean losses.
             regParam=1.0 / n_rows, standardization=False,
         ),

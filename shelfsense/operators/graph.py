@@ -12,17 +12,13 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfsense.session import Rounds, cut_lineage, cut_lineage_keeping_layout, shuffle_partitions
+from shelfsense.session import NotConverged, Rounds, cut_lineage, cut_lineage_keeping_layout, shuffle_partitions
 
 TILE_PRODUCTS = 200
 # The edges of a product lie in so many parts, and its value is sent to each: a hub is split in every round.
 HUB_PARTS = 4
 
 
-class NotConverged(RuntimeError):
-    """An iteration reached its last round before its tolerance."""
-
-
 @dataclass(frozen=True)
 class CoReviewGraph:
     edges: DataFrame  # src, dst; both directions, each once

@@ -10,7 +10,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfsense.functions.text import tokens
-from shelfsense.session import shuffle_partitions
 
 REVIEW_ORDER = ("ord1", "ord2")
 
@@ -67,8 +66,6 @@ def spread_over_reviews(text_rows: DataFrame, reviews: DataFrame, id_col: str, t
     """
     counted = text_rows.groupBy(text_id, "term").agg(F.sum("n").alias("in_text"))
     uses = reviews.groupBy(id_col, text_id).agg(F.count("*").alias("uses"))
-    # These few narrow rows grow into a row per word in the join, so they keep their full spread.
-    uses = uses.repartition(shuffle_partitions(reviews.sparkSession), id_col, text_id)
     return counted.join(uses, text_id).select(id_col, "term", (F.col("in_text") * F.col("uses")).alias("n"))
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -65,16 +66,24 @@ def value_counts(df: DataFrame, column: str, count: str = "documents") -> DataFr
     return counts.orderBy(F.desc(count), F.asc(column))
 
 
-def position_in_group(df: DataFrame, group: str, id_col: str, seed: int = 42) -> DataFrame:
+def chart_order(counts: DataFrame, count: str = "documents") -> DataFrame:
+    """Counts in ascending order, as a bar chart lists them from below."""
+    return counts.orderBy(count)
+
+
+def position_in_group(
+    df: DataFrame, group: str, id_col: str, seed: int = 42, rows_per_bucket: int = 50_000
+) -> DataFrame:
     """Add `position` (1, 2, …) of every row within its group, in the order of a hash of its id.
 
     A plain row number would sort a whole group in one task. Here the range of the 63-bit hash is
-    cut into 1024 buckets: rows are numbered inside (group, bucket), and the sizes of the earlier
-    buckets of the group are added. Hash values spread evenly, so the buckets of a hot group are
-    small, and they depend on the id only, so a recomputed task gives the same numbers.
+    cut into buckets of about `rows_per_bucket` rows: rows are numbered inside (group, bucket), and the
+    sizes of the earlier buckets of the group are added. Hash values spread evenly, so the buckets of
+    a hot group are small, and they depend on the id only, so a recomputed task gives the same numbers.
     """
+    bits = max(1, math.ceil(math.log2(df.select(id_col).count() / rows_per_bucket + 1)))
     hashed = F.shiftrightunsigned(F.xxhash64(F.col(id_col), F.lit(seed)), 1)
-    bucketed = df.withColumn("_key", hashed).withColumn("_bucket", F.shiftright("_key", 53))
+    bucketed = df.withColumn("_key", hashed).withColumn("_bucket", F.shiftright("_key", 63 - bits))
     sizes = bucketed.groupBy(group, "_bucket").agg(F.count("*").alias("_size"))
     before = Window.partitionBy(group).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select(

@@ -14,7 +14,7 @@ from shelfsense.operators import classify, evaluate, factors, graph, index, reco
 from shelfsense.operators import textmining as mining
 from shelfsense.session import checkpoint_dir, cut_lineage
 from shelfsense.sources import files, pages
-from shelfsense.sources.tables import interactions, reviews, reviews_by_text, table, texts, wide_table, with_bodies
+from shelfsense.sources.tables import interactions, reviews, reviews_by_text, table, texts, text_table, with_bodies
 
 SEARCH_QUERIES = "small ring\nred widget\nblue bolt"
 EVAL_QUERIES = "small ring\n\nwidget\n  blue bolt \nno such product"
@@ -26,7 +26,7 @@ def _rounded(df: DataFrame, *names: str, digits: int = 6) -> DataFrame:
 
 
 def _documents(spark: SparkSession, folder: str) -> DataFrame:
-    return wide_table(spark, folder, "documents", "doc_id")
+    return text_table(spark, folder, "documents", "doc_id")
 
 
 # Sources and relational operators
@@ -65,7 +65,7 @@ def first_rows_per_source(spark: SparkSession, folder: str) -> DataFrame:
         return rows.select(F.lit(name).alias("source"), F.col(id_col).alias("id"), F.md5("text").alias("text_hash"))
 
     sources = [layout("documents", "doc_id"), layout("benchmark", "item_id")]
-    return files.prepare_corpus(sources, 15_000, [F.col("id").asc()])
+    return files.prepare_corpus(sources, 100, [F.col("id").asc()])
 
 
 def _labelled(spark: SparkSession, folder: str) -> DataFrame:
@@ -116,11 +116,11 @@ def tokenize(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def preprocess(spark: SparkSession, folder: str) -> DataFrame:
-    documents = _documents(spark, folder)
-    plain = mining.preprocess_documents(documents, "doc_id", "text", lemmatize=False)
-    lemmas = mining.preprocess_documents(documents, "doc_id", "text")
-    return plain.select("doc_id", F.md5("text").alias("plain_hash")).join(
-        lemmas.select("doc_id", F.md5("text").alias("lemma_hash")), "doc_id"
+    text = F.col("text")
+    return _documents(spark, folder).select(
+        "doc_id",
+        F.md5(tx.preprocess(text, lemmatize=False)).alias("plain_hash"),
+        F.md5(tx.preprocess(text)).alias("lemma_hash"),
     )
 
 
@@ -346,7 +346,8 @@ def _collaborative(spark: SparkSession, folder: str, k: int, demean: bool, top_k
     ).first()
     limit = min(sizes["users"], sizes["items"]) if demean else sizes["items"]
     fitted = factors.item_factors(ratings, min(k, limit - 1), demean)
-    found = factors.collaborative_recommendations(fitted, _targets(rated), top_k, zero_is_unrated=not demean)
+    seen = rated.select("customer_id", "product_id") if demean else None
+    found = factors.collaborative_recommendations(fitted, _targets(rated), top_k, zero_is_unrated=not demean, seen=seen)
     return recommend.with_titles(found, index.first_titles(rated), required=not demean)
 
 
@@ -390,7 +391,7 @@ def hybrid_blend(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _pages(spark: SparkSession, folder: str) -> DataFrame:
-    return wide_table(spark, folder, "pages", "page_id")
+    return text_table(spark, folder, "pages", "page_id")
 
 
 def canonical_url(spark: SparkSession, folder: str) -> DataFrame:

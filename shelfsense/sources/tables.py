@@ -5,21 +5,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfsense.session import shuffle_partitions
-
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def wide_table(spark: SparkSession, folder: str, name: str, key: str) -> DataFrame:
-    """A table with much text per row, spread evenly if its files give too few tasks.
+def text_table(spark: SparkSession, folder: str, name: str, key: str) -> DataFrame:
+    """A table with much text per row, read as its files are split.
 
-    A large table has a task per row group anyway and is left as it is.
+    A file of one row group is one task. Who reads such files may name a number of partitions in
+    `spark.shelfsense.scan.partitions`; rows are then dealt by their key first.
     """
     rows = table(spark, folder, name)
-    tasks = spark.sparkContext.defaultParallelism
-    return rows if rows.rdd.getNumPartitions() > 2 * tasks else rows.repartition(tasks, key)
+    wanted = spark.conf.get("spark.shelfsense.scan.partitions", None)
+    return rows.repartition(int(wanted), key) if wanted else rows
 
 
 def interactions(spark: SparkSession, folder: str) -> DataFrame:
@@ -44,7 +43,7 @@ def interactions(spark: SparkSession, folder: str) -> DataFrame:
 
 def texts(spark: SparkSession, folder: str) -> DataFrame:
     """Review texts: (text_id, text)."""
-    return wide_table(spark, folder, "documents", "doc_id").select(F.col("doc_id").alias("text_id"), "text")
+    return text_table(spark, folder, "documents", "doc_id").select(F.col("doc_id").alias("text_id"), "text")
 
 
 def reviews_by_text(spark: SparkSession, folder: str) -> DataFrame:
@@ -59,6 +58,5 @@ def reviews(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def with_bodies(reviews: DataFrame, texts: DataFrame) -> DataFrame:
-    """Attach the texts. The rows are few and narrow before and wide after, so they spread first."""
-    spread = reviews.repartition(shuffle_partitions(reviews.sparkSession), "ord1", "ord2")
-    return spread.join(texts.withColumnRenamed("text", "review_body"), "text_id").drop("text_id")
+    """Attach the texts."""
+    return reviews.join(texts.withColumnRenamed("text", "review_body"), "text_id").drop("text_id")

@@ -2,6 +2,7 @@ import numpy as np
 import pytest
 
 from shelfsense.operators import classify, factors, recommend, relational
+from shelfsense.session import NotConverged
 
 RATING = "customer_id string, product_id string, star_rating double"
 
@@ -114,3 +115,22 @@ def test_classifier_separates_clear_classes(spark):
     rows = [(i, f"lens camera photo {i}" if i % 2 else f"bag strap leather {i}", "ab"[i % 2]) for i in range(60)]
     frame = spark.createDataFrame(rows, "id long, body string, label string")
     assert tuple(classify.classify_documents(frame, "id", "body", "label", max_iter=20).first()) == (1.0, 2)
+
+
+def test_products_with_a_null_rating_are_not_recommended(spark):
+    rows = [*small(), ("nullrater", "a", 5.0), ("nullrater", "b", None)]
+    reviews = spark.createDataFrame(rows, RATING)
+    fitted = factors.item_factors(factors.user_item_ratings(reviews), 2)
+    customer = spark.createDataFrame([("nullrater",)], "customer_id string")
+    found = factors.collaborative_recommendations(fitted, customer, 50, seen=reviews.select("customer_id", "product_id")).collect()
+    assert found and {"a", "b"}.isdisjoint(r["product_id"] for r in found)
+
+
+def test_too_few_steps_are_reported(spark):
+    with pytest.raises(NotConverged):
+        factors.item_factors(ratings(spark, small()), 2, max_steps=0)
+
+
+def test_chart_order(spark):
+    counts = relational.value_counts(spark.createDataFrame([("x",), ("x",), ("y",)], "c string"), "c")
+    assert [r["c"] for r in relational.chart_order(counts).collect()] == ["y", "x"]
