@@ -20,7 +20,7 @@ from shelfsense.functions.text import (
     without_stop_words,
     word_count,
 )
-from shelfsense.functions.wordlists import STOP_WORDS
+from shelfsense.functions.wordlists import LEMMA_MIN_LENGTH, NOUN_ENDINGS, STOP_WORDS
 from shelfsense.operators.relational import broadcast_if_bounded
 
 
@@ -60,6 +60,29 @@ def preprocess_documents(
     return looked_up.groupBy(id_col).agg(F.array_join(F.transform(ordered, lambda x: x["word"]), " ").alias("text"))
 
 
+def known_lemmas(
+    df: DataFrame, text_col: str, known: DataFrame | None = None, stop_words: Sequence[str] = STOP_WORDS
+) -> DataFrame:
+    """Lemmas (token, lemma) of the collection's tokens whose stem is itself a known word.
+
+    `known` (token) are the words that count as known, by default the tokens of the collection. Stems
+    are proposed once for each distinct token, and one join keeps the known ones, so `lens` becomes
+    `len` only where `len` is a word.
+    """
+    used = df.select(F.explode(content_words(F.col(text_col), False, stop_words)).alias("token")).distinct()
+    token = F.col("token")
+
+    def stem(ending: str, instead: str) -> Column:
+        rest = F.substring(token, F.lit(1), F.length(token) - len(ending))
+        long_enough = F.length(token) >= LEMMA_MIN_LENGTH + len(ending) - len(instead)
+        return F.when(token.endswith(ending) & long_enough, F.concat(rest, F.lit(instead)))
+
+    stems = used.select("token", F.posexplode(F.array(*(stem(*rule) for rule in NOUN_ENDINGS))).alias("rank", "stem"))
+    words = (used if known is None else known).select(F.col("token").alias("stem")).distinct()
+    found = stems.dropna().join(words, "stem")
+    return found.groupBy("token").agg(F.min_by("stem", "rank").alias("lemma"))
+
+
 def top_ngrams(
     df: DataFrame, text_col: str, n: int = 2, top_k: int = 15, stop_words: Sequence[str] = STOP_WORDS
 ) -> DataFrame:

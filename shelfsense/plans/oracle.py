@@ -45,6 +45,16 @@ def _content(text: str, lemmatize: bool) -> str:
     return f"list_transform({kept}, lambda x: {_lemma('x')})" if lemmatize else kept
 
 
+# Written out apart from the library's table.
+KNOWN_LEMMAS = f"""used AS (SELECT DISTINCT unnest({_content('text', False)}) AS token FROM documents),
+endings(ending, instead, rank) AS (VALUES ('s', '', 0), ('ses', 's', 1), ('ves', 'f', 2), ('xes', 'x', 3), ('zes', 'z', 4),
+  ('ches', 'ch', 5), ('shes', 'sh', 6), ('men', 'man', 7), ('ies', 'y', 8)),
+stems AS (SELECT token, left(token, length(token) - length(ending)) || instead AS stem, rank
+  FROM used, endings WHERE ends_with(token, ending)),
+lemmas AS (SELECT token, arg_min(stem, rank) AS lemma FROM stems
+  WHERE length(stem) >= 3 AND stem IN (SELECT token FROM used) GROUP BY token)"""
+
+
 def _query_rows(lines: str) -> str:
     queries = [line.strip() for line in lines.splitlines() if line.strip()]
     values = ", ".join(f"({i}, {_lit(query)})" for i, query in enumerate(queries))
@@ -381,6 +391,12 @@ merged AS (
   len({_vector('text')}) AS vector_tokens, len({_relevance('text')}) AS relevance_tokens FROM documents""",
         "preprocess": f"""SELECT doc_id, md5(array_to_string({_content('text', False)}, ' ')) AS plain_hash,
   md5(array_to_string({_content('text', True)}, ' ')) AS lemma_hash FROM documents""",
+        "known_lemmas": _with(KNOWN_LEMMAS, "SELECT token, lemma FROM lemmas"),
+        "preprocess_known": _with(KNOWN_LEMMAS, f"""SELECT doc_id, md5(coalesce(cleaned, '')) AS text_hash FROM documents LEFT JOIN (
+  SELECT doc_id, string_agg(coalesce(lemma, token), ' ' ORDER BY i) AS cleaned FROM (
+    SELECT doc_id, unnest(words) AS token, generate_subscripts(words, 1) AS i
+    FROM (SELECT doc_id, {_content('text', False)} AS words FROM documents)) LEFT JOIN lemmas USING (token)
+  GROUP BY doc_id) USING (doc_id)"""),
         "doc_profile": f"SELECT doc_id, len(regexp_extract_all(text, {_lit(NON_SPACE_RUN)})) AS word_count, length(text) AS char_count FROM documents",
         "profile_means": f"""SELECT round(avg(len(regexp_extract_all(text, {_lit(NON_SPACE_RUN)}))), 6) AS mean_words,
   round(avg(length(text)), 6) AS mean_chars, count(DISTINCT lang) AS categories FROM documents""",

@@ -124,6 +124,18 @@ def preprocess(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def known_lemmas(spark: SparkSession, folder: str) -> DataFrame:
+    return mining.known_lemmas(_documents(spark, folder), "text")
+
+
+def preprocess_known(spark: SparkSession, folder: str) -> DataFrame:
+    """Cleaned texts with the lemmas that the collection itself knows."""
+    documents = _documents(spark, folder)
+    lemmas = cut_lineage(mining.known_lemmas(documents, "text"))
+    cleaned = mining.preprocess_documents(documents, "doc_id", "text", lemmas=lemmas)
+    return cleaned.select("doc_id", F.md5("text").alias("text_hash"))
+
+
 def doc_profile(spark: SparkSession, folder: str) -> DataFrame:
     return mining.document_profile(_documents(spark, folder), "text").select("doc_id", "word_count", "char_count")
 
@@ -465,7 +477,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for query in (
         reviews_profile, csv_round_trip, first_rows_per_source, drop_nulls, fill_nulls, unlabelled_documents,
         category_counts, first_per_key, product_documents,
-        tokenize, preprocess, doc_profile, profile_means, top_bigrams, top_trigrams_raw, tfidf_features,
+        tokenize, preprocess, known_lemmas, preprocess_known, doc_profile, profile_means, top_bigrams, top_trigrams_raw, tfidf_features,
         term_weights, preprocess_compare, feature_compare, classify_languages,
         postings, doc_stats, term_stats, bm25_search, bm25_batch, review_level_bm25, index_stats,
         co_review_neighbours, graph_stats, pagerank, pagerank_hot_customers, hits,

@@ -82,3 +82,13 @@ def test_empty_vocabulary_gives_no_features(spark):
 
 def test_lines(spark):
     assert one(spark, " a \n\n b\r\nc", tx.lines) == ["a", "b", "c"]
+
+
+def test_lemmas_are_known_words(spark):
+    from shelfsense.operators import textmining
+
+    text = "lens lenses cases case movies movie series women woman wolves wolf boxes box houses house canvas"
+    rows = textmining.known_lemmas(spark.createDataFrame([(text,)], "t string"), "t").collect()
+    assert {r["token"]: r["lemma"] for r in rows} == {
+        "lenses": "lens", "cases": "case", "movies": "movie", "women": "woman", "wolves": "wolf", "boxes": "box", "houses": "house",
+    }
