@@ -31,7 +31,7 @@ PERCENT = 75
 SEEDS = 3
 LEADERS = 8
 FANOUT = 8
-CACHED_WORDS = 700_000
+CACHED_WORDS = 300_000
 FACTORS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], np.uint64)
 
 
@@ -76,14 +76,26 @@ def least_overlap(a, b, percent: int = PERCENT):
 
 
 def _set_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[object, np.ndarray]]:
-    words = worker_state().setdefault("shingle_words", _WordHashes())
+    words = worker_state("shingles").setdefault("words", _WordHashes())
     for batch in batches:
         for doc_id, text in zip(batch.column("doc_id").to_pylist(), blobs(batch.column("text"))):
             yield doc_id, shingle_set(text, words)
 
 
+REQUEST = "bucket int, source long, ids binary, sizes binary, counts binary, tokens binary"
+ANSWER = "source long, ids binary, sizes binary, counts binary, tokens binary, frequencies binary"
+
+
 def _requests(sets: Iterator[tuple[object, np.ndarray]], buckets: int, wide: bool) -> Iterator[pa.RecordBatch]:
-    """Rows (bucket, doc_ids, sizes, counts, tokens) that ask the bucket of each token how frequent it is."""
+    """Rows that ask the bucket of each token how frequent it is, a row for each bucket and some documents.
+
+    `source` numbers these documents by the place of their rows; `counts` are their tokens in the bucket.
+    """
+    from pyspark import TaskContext
+
+    names = [part.split()[0] for part in REQUEST.split(", ")]
+    kinds = [pa.int32(), pa.int64()] + [pa.binary()] * 4
+    source = TaskContext.get().partitionId() << 32
     held: list[tuple[object, np.ndarray]] = []
 
     def close() -> pa.RecordBatch:
@@ -100,26 +112,26 @@ def _requests(sets: Iterator[tuple[object, np.ndarray]], buckets: int, wide: boo
             if len(inside):
                 docs, counts = np.unique(owner[inside], return_counts=True)
                 part = tokens[inside] if wide else tokens[inside].astype(np.uint32)
-                rows.append((b, ids[docs].tobytes(), lengths[docs].tobytes(), counts.tobytes(), part.tobytes()))
-        kinds = [pa.int32()] + [pa.binary()] * 4
-        columns = list(zip(*rows)) or [[]] * 5
-        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], ["bucket", "ids", "sizes", "counts", "tokens"])
+                rows.append((b, source, ids[docs].tobytes(), lengths[docs].astype("<u4").tobytes(), counts.astype("<u4").tobytes(), part.tobytes()))
+        columns = list(zip(*rows)) or [[]] * 6
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names)
 
     total = 0
     for doc_id, tokens in sets:
         if len(tokens) and doc_id is not None:
             held.append((doc_id, tokens))
             total += len(tokens)
-        if total > 4_000_000:
+        if total > (1_000_000 if wide else 4_000_000):
             yield close()
-            held, total = [], 0
+            held, total, source = [], 0, source + 1
     if held:
         yield close()
 
 
 def _answers(batches: Iterator[pa.RecordBatch], wide: bool) -> Iterator[pa.RecordBatch]:
-    """For each document in a bucket: its size, how many of its tokens are shared, and if `wide` all frequencies."""
+    """How many tokens of each document in a request are shared; if `wide`, these tokens and their frequencies."""
     kind = np.uint64 if wide else np.uint32
+    names = [part.split()[0] for part in ANSWER.split(", ")]
     held: list[dict] = []
 
     def close() -> Iterator[pa.RecordBatch]:
@@ -127,17 +139,12 @@ def _answers(batches: Iterator[pa.RecordBatch], wide: bool) -> Iterator[pa.Recor
         found, times = np.unique(np.concatenate(tokens), return_counts=True)
         for row, own in zip(held, tokens):
             frequency = times[np.searchsorted(found, own)]
-            ends = np.cumsum(np.frombuffer(row["counts"], np.int64))
-            begins = np.r_[0, ends[:-1]]
-            shared = np.add.reduceat((frequency > 1).astype(np.int64), begins)
-            columns = [np.frombuffer(row["ids"], np.int64), np.frombuffer(row["sizes"], np.int64), shared]
-            names = ["doc_id", "n", "shared"]
-            arrays = [pa.array(c) for c in columns]
-            if wide:
-                keep = frequency > 1
-                pairs = [(own[b:e][keep[b:e]].tobytes(), frequency[b:e][keep[b:e]].astype(np.int64).tobytes()) for b, e in zip(begins, ends)]
-                arrays += [pa.array([p[i] for p in pairs], pa.binary()) for i in (0, 1)]
-                names += ["tokens", "frequencies"]
+            counts = np.frombuffer(row["counts"], "<u4").astype(np.int64)
+            shared = np.add.reduceat((frequency > 1).astype(np.int64), np.cumsum(counts) - counts)
+            keep = frequency > 1
+            extra = (own[keep].tobytes(), frequency[keep].astype("<u4").tobytes()) if wide else (b"", b"")
+            values = (row["source"], row["ids"], row["sizes"], shared.astype("<u4").tobytes(), *extra)
+            arrays = [pa.array([v], pa.binary() if i else pa.int64()) for i, v in enumerate(values)]
             yield pa.RecordBatch.from_arrays(arrays, names)
 
     bucket = None
@@ -152,15 +159,32 @@ def _answers(batches: Iterator[pa.RecordBatch], wide: bool) -> Iterator[pa.Recor
         yield from close()
 
 
-REQUEST = "bucket int, ids binary, sizes binary, counts binary, tokens binary"
-ANSWER = "doc_id long, n long, shared long"
-
-
 def _ask(rows: DataFrame, sets, wide: bool) -> DataFrame:
+    """The answers to all requests of one source in one row: (source, parts)."""
     buckets = partitions(rows.sparkSession)
     asked = rows.mapInArrow(lambda batches: _requests(sets(batches), buckets, wide), REQUEST)
     dealt = asked.repartition(buckets, "bucket").sortWithinPartitions("bucket")
-    return dealt.mapInArrow(lambda batches: _answers(batches, wide), ANSWER + ", tokens binary, frequencies binary" * wide)
+    answers = dealt.mapInArrow(lambda batches: _answers(batches, wide), ANSWER)
+    columns = ["ids", "sizes", "counts", *(["tokens", "frequencies"] if wide else [])]
+    return answers.groupBy("source").agg(F.collect_list(F.struct(*columns)).alias("parts"))
+
+
+def _together(parts: list[dict], name: str, kind: str) -> np.ndarray:
+    return np.concatenate([np.frombuffer(part[name], kind) for part in parts])
+
+
+def _near(answers: DataFrame) -> DataFrame:
+    """Ids of documents of which enough is shared."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for parts in batch.column("parts").to_pylist():
+                ids, first, place = np.unique(_together(parts, "ids", "<i8"), return_index=True, return_inverse=True)
+                sizes = _together(parts, "sizes", "<u4")[first].astype(np.int64)
+                shared = np.bincount(place, _together(parts, "counts", "<u4")).astype(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(ids[100 * shared >= PERCENT * sizes])], ["doc_id"])
+
+    return answers.mapInArrow(run, "doc_id long").distinct()
 
 
 def _stored_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[object, np.ndarray]]:
@@ -203,7 +227,10 @@ class SignatureTree:
             )
 
     def pairs(self, percent: int = PERCENT) -> np.ndarray:
-        """Member pairs of different components that may be linked, by dual traversal from the root."""
+        """Member pairs of different components that may be linked, by dual traversal from the root.
+
+        Rows (member, member, largest possible overlap).
+        """
         top = len(self.levels) - 1
         n = len(self.levels[top][0])
         left, right = np.triu_indices(n)
@@ -223,10 +250,10 @@ class SignatureTree:
             common = np.bitwise_count(maps[left] & maps[right]).sum(1).astype(np.int64)
             most = common + np.minimum(spare[left], spare[right])
             keep = most >= least_overlap(low[left], low[right], percent)
-            left, right = left[keep], right[keep]
+            left, right, most = left[keep], right[keep], most[keep]
             if level == 0:
                 if len(left):
-                    found.append(np.c_[self.order[left], self.order[right]])
+                    found.append(np.c_[self.order[left], self.order[right], most])
                 continue
             below = len(self.levels[level - 1][0])
             step = np.arange(FANOUT)
@@ -236,7 +263,7 @@ class SignatureTree:
             real = (a < below) & (b < below) & (~same | (a < b if level == 1 else a <= b))
             if real.any():
                 stack.append((level - 1, a[real], b[real]))
-        return np.concatenate(found) if found else np.zeros((0, 2), np.int64)
+        return np.concatenate(found) if found else np.zeros((0, 3), np.int64)
 
 
 def _neighbour_links(sets: DataFrame, seed: int) -> DataFrame:
@@ -287,31 +314,42 @@ def _prefixes(answers: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out: list[np.ndarray] = []
-            for doc_id, n, parts in zip(*(batch.column(name).to_pylist() for name in ("doc_id", "n", "parts"))):
-                tokens = np.concatenate([np.frombuffer(p["tokens"], np.uint64) for p in parts])
-                times = np.concatenate([np.frombuffer(p["frequencies"], np.int64) for p in parts])
-                length = len(tokens) - -(-PERCENT * n // 100) + 1
-                if length > 0:
-                    chosen = tokens[np.lexsort((tokens, times))[:length]].astype(np.int64)
-                    band = int(np.log(n) / np.log(100 / PERCENT))
-                    out += [np.c_[chosen, np.full((length, 1), doc_id), np.full((length, 1), n), np.full((length, 1), b)] for b in (band, band + 1)]
-            rows = np.concatenate(out) if out else np.zeros((0, 4), np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in rows.T.copy()], ["token", "doc_id", "n", "band"])
-
-    grouped = answers.groupBy("doc_id", "n").agg(F.collect_list(F.struct("tokens", "frequencies")).alias("parts"))
-    return grouped.mapInArrow(run, "token long, doc_id long, n long, band long")
-
-
-def _group_pairs(rows: DataFrame) -> DataFrame:
-    """Candidate pairs (a, b) from rows (token, band, doc_id, n, component, bitmap), grouped by token and band."""
+            for parts in batch.column("parts").to_pylist():
+                docs, sizes = _together(parts, "ids", "<i8"), _together(parts, "sizes", "<u4").astype(np.int64)
+                row = np.repeat(np.arange(len(docs)), _together(parts, "counts", "<u4"))
+                tokens, times = _together(parts, "tokens", "<u8"), _together(parts, "frequencies", "<u4")
+                order = np.lexsort((tokens, times, docs[row]))
+                doc, token, n = docs[row][order], tokens[order].astype(np.int64), sizes[row][order]
+                if not len(doc):
+                    continue
+                first = np.flatnonzero(np.r_[True, doc[1:] != doc[:-1]])
+                length = np.diff(np.r_[first, len(doc)])
+                rank = np.arange(len(doc)) - np.repeat(first, length)
+                inside = rank < np.repeat(length, length) - -(-PERCENT * n // 100) + 1
+                doc, token, n = doc[inside], token[inside], n[inside]
+                band = (np.log(n) / np.log(100 / PERCENT)).astype(np.int64)
+                columns = [np.r_[token, token], np.r_[doc, doc], np.r_[n, n], np.r_[band, band + 1]]
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["token", "doc_id", "n", "band"])
+
+    return answers.mapInArrow(run, "token long, doc_id long, n long, band long")
+
+
+def _group_pairs(rows: DataFrame, best_only: bool) -> DataFrame:
+    """Candidate pairs (a, b) from rows (token, band, doc_id, n, component, bitmap), grouped by token and band.
+
+    `best_only` gives the likeliest pair for each two components of a group.
+    """
 
     def traverse(held: list[tuple]) -> np.ndarray:
-        ids = np.array([r[2] for r in held], np.int64)
-        tree = SignatureTree(
-            np.array([np.frombuffer(r[5], np.uint64) for r in held]), np.array([r[3] for r in held], np.int64), np.array([r[4] for r in held], np.int64)
-        )
-        return np.sort(ids[tree.pairs()], axis=1)
+        ids, component = np.array([r[2] for r in held], np.int64), np.array([r[4] for r in held], np.int64)
+        tree = SignatureTree(np.array([np.frombuffer(r[5], np.uint64) for r in held]), np.array([r[3] for r in held], np.int64), component)
+        pairs = tree.pairs()
+        if best_only and len(pairs):
+            ends = np.sort(component[pairs[:, :2]], axis=1)
+            order = np.lexsort((-pairs[:, 2], ends[:, 1], ends[:, 0]))
+            ends = ends[order]
+            pairs = pairs[order[np.r_[True, (ends[1:] != ends[:-1]).any(1)]]]
+        return np.sort(ids[pairs[:, :2]], axis=1)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, held, out, size = None, [], [], 0
@@ -363,8 +401,7 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     """
     spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    shared = stored(_ask(docs, _set_rows, wide=False).groupBy("doc_id").agg(F.max("n").alias("n"), F.sum("shared").alias("shared")))
-    near = shared.filter(100 * F.col("shared") >= PERCENT * F.col("n")).select("doc_id")
+    near = stored(_near(_ask(docs, _set_rows, wide=False)))
 
     def as_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import hashlib
@@ -388,20 +425,19 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     for seed in range(SEEDS):
         links = links.unionAll(_neighbour_links(sets, seed))
     links = stored(links)
-    found = connected_components(links)
-
-    prefixes = _prefixes(_ask(sets.select("doc_id", "tokens"), _stored_sets, wide=True))
-    labelled = stored(
-        prefixes.join(found, prefixes["doc_id"] == found["node"], "left").select(
+    prefixes = stored(_prefixes(_ask(sets.select("doc_id", "tokens"), _stored_sets, wide=True)))
+    maps = sets.select("doc_id", "bitmap").dropDuplicates(["doc_id"])
+    # The likeliest pairs first: what they link need not be compared again. Then all the others.
+    for best_only in (True, False):
+        found = connected_components(links)
+        labelled = prefixes.join(found, prefixes["doc_id"] == found["node"], "left").select(
             "token", "band", "doc_id", "n", F.coalesce("component", "doc_id").alias("component")
         )
-    )
-    mixed = labelled.groupBy("token", "band").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low <> high")
-    rows = labelled.join(mixed.select("token", "band"), ["token", "band"], "left_semi")
-    maps = sets.select("doc_id", "bitmap").dropDuplicates(["doc_id"])
-    pairs = _group_pairs(rows.join(maps, "doc_id")).distinct()
-    more = _verified(stored(pairs), sets)
-    components = connected_components(node_links.unionAll(links).unionAll(more))
+        mixed = labelled.groupBy("token", "band").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low <> high")
+        rows = labelled.join(mixed.select("token", "band"), ["token", "band"], "left_semi")
+        pairs = stored(_group_pairs(rows.join(maps, "doc_id"), best_only).distinct())
+        links = links.unionAll(stored(_verified(pairs, sets)))
+    components = connected_components(node_links.unionAll(links))
     ids = components.select(F.col("node").alias("doc_id"), F.col("component"))
 
     sizes = docs.mapInArrow(_sizes, "doc_id long, n_shingles long")
