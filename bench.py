@@ -25,6 +25,7 @@ HEADLINE = (
     "reviews_profile", "tokenize", "top_bigrams", "tfidf_features", "preprocess_compare", "category_counts",
     "bm25_search", "review_level_bm25", "graph_stats", "pagerank",
     "fused_search", "pseudo_relevance", "content_recs", "user_item_mean", "page_dedup", "crawl_pages",
+    "hits", "bm25_batch", "svd_recs", "known_lemmas",
 )
 
 
