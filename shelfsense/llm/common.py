@@ -15,9 +15,17 @@ from pyspark.sql import functions as F
 from shelfsense.session import checkpoint_dir
 
 
-def worker_state() -> dict:
-    """What a Python worker keeps between tasks, such as a loaded tokenizer."""
-    return vars(sys.modules.setdefault("shelfsense_worker_state", types.ModuleType("shelfsense_worker_state")))
+def worker_state(owner: str) -> dict:
+    """What a Python worker keeps for an operator between tasks, such as a loaded tokenizer.
+
+    One operator at a time: a worker that goes on to another one forgets what the last one kept, so
+    a pipeline needs no more memory than its largest stage.
+    """
+    state = vars(sys.modules.setdefault("shelfsense_worker_state", types.ModuleType("shelfsense_worker_state")))
+    if state.get("_owner") != owner:
+        state.clear()
+        state["_owner"] = owner
+    return state
 
 
 def stored(df: DataFrame) -> DataFrame:

@@ -21,7 +21,7 @@ Q = 8
 EDIT_SHARE = 0.08
 LEAST_BYTES = 24
 BLOCK_BYTES = 4 << 20
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 1 << 20
 FOLD = np.arange(256, dtype=np.uint8)
 FOLD[65:91] += 32
 FOLD[9:14] = 32
@@ -178,6 +178,9 @@ def _find_block(docs: DataFrame, block: list, share: float, schema: str) -> Data
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """Documents in which no benchmark passage was found; a null doc_id stays unless its text holds one."""
+    """Documents in which no benchmark passage was found.
+
+    Rows of one doc_id go together, also those with a null doc_id.
+    """
     leaked = find_passages(docs, benchmark).select(F.col("doc_id").alias("_leaked")).distinct()
     return docs.join(leaked, docs["doc_id"].eqNullSafe(leaked["_leaked"]), "left_anti")

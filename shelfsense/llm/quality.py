@@ -19,12 +19,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfsense.llm.common import blobs
+from shelfsense.llm.common import blobs, worker_state
 
 DIMENSIONS = 1 << 18
 MAX_LABELS = 5_000
 SCALE = 10.0  # texts have a few telling words among hundreds; this brings their share near one
-CACHED_WORDS = 500_000
+CACHED_WORDS = 200_000
 LEAST_DOCUMENTS = 3
 SHORT = 30  # shares of a shorter text are taken of this many words, as a few words tell little
 WHOLE = 0.1  # the share that stands for a feature of the whole text
@@ -174,7 +174,8 @@ def score(docs: DataFrame, model: OrdinalModel) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own, words = OrdinalModel(weights, thresholds), _WordScores(weights)
-        for batch in batches:
+        worker_state("quality")  # what other operators kept is not needed now
+        for batch in (whole.slice(at, 1000) for whole in batches for at in range(0, max(whole.num_rows, 1), 1000)):
             scores = np.zeros(batch.num_rows)
             for i, text in enumerate(blobs(batch.column("text"))):
                 found = text.split()

@@ -121,7 +121,7 @@ def _requests(sets: Iterator[tuple[object, np.ndarray]], buckets: int, wide: boo
         if len(tokens) and doc_id is not None:
             held.append((doc_id, tokens))
             total += len(tokens)
-        if total > (1_000_000 if wide else 4_000_000):
+        if total > (1_000_000 if wide else 2_000_000):
             yield close()
             held, total, source = [], 0, source + 1
     if held:

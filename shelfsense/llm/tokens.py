@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 
 from shelfsense.llm.common import worker_state
 
-CACHED_WORDS = 700_000  # per worker; about 150 MB
+CACHED_WORDS = {"drop": 300_000, "keep": 700_000}  # per worker; 70 to 150 MB
 LONGEST_CACHED = 40
 # Python takes these four for white space, the tokenizer does not.
 SEPARATORS = re.compile("[\x1c-\x1f]")
@@ -57,9 +57,9 @@ def cutting_rule(path: str) -> str:
 class _Words(dict):
     """Ids of words as bytes, asked from the tokenizer on first use; emptied when full."""
 
-    def __init__(self, encode: Callable[[str], bytes], encode_letters: Callable[[str], bytes], lead: str):
+    def __init__(self, encode: Callable[[str], bytes], encode_letters: Callable[[str], bytes], lead: str, limit: int):
         super().__init__()
-        self.encode, self.encode_letters, self.lead = encode, encode_letters, lead
+        self.encode, self.encode_letters, self.lead, self.limit = encode, encode_letters, lead, limit
         self.marks: dict[str, bytes] = {}
 
     def __missing__(self, word: str) -> bytes:
@@ -76,7 +76,7 @@ class _Words(dict):
         else:
             ids = self.encode(self.lead + word)
         if len(word) <= LONGEST_CACHED:
-            if len(self) >= CACHED_WORDS:
+            if len(self) >= self.limit:
                 self.clear()
             self[word] = ids
         return ids
@@ -97,7 +97,7 @@ def encoder(path: str) -> Callable[[str], bytes]:
         return array("I", [token.id for token in tokenizer.model.tokenize(space + shown)]).tobytes()
 
     space = BYTE_SHOWN[32] if rule == "keep" else ""
-    words = _Words(encode, encode_letters, " " if rule == "keep" else "")
+    words = _Words(encode, encode_letters, " " if rule == "keep" else "", CACHED_WORDS.get(rule, 0))
 
     def drop(text: str) -> bytes:
         return encode(text) if SEPARATORS.search(text) else b"".join(map(words.__getitem__, text.split()))
@@ -115,10 +115,10 @@ def encoder(path: str) -> Callable[[str], bytes]:
 
 def worker_encoder(path: str) -> Callable[[str], bytes]:
     """The encoder of this worker, kept from task to task."""
-    state = worker_state()
-    if path not in state:
-        state[path] = encoder(path)
-    return state[path]
+    state = worker_state(path)
+    if "encoder" not in state:
+        state["encoder"] = encoder(path)
+    return state["encoder"]
 
 
 def tokenize(docs: DataFrame, path: str, end_id: int) -> DataFrame:
