@@ -31,7 +31,7 @@ PERCENT = 75
 SEEDS = 3
 LEADERS = 8
 FANOUT = 8
-CACHED_WORDS = 300_000
+CACHED_WORDS = 150_000
 FACTORS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], np.uint64)
 
 
@@ -121,7 +121,7 @@ def _requests(sets: Iterator[tuple[object, np.ndarray]], buckets: int, wide: boo
         if len(tokens) and doc_id is not None:
             held.append((doc_id, tokens))
             total += len(tokens)
-        if total > (1_000_000 if wide else 2_000_000):
+        if total > 1_000_000:
             yield close()
             held, total, source = [], 0, source + 1
     if held:
