@@ -3,7 +3,7 @@
 A folder holds two tables. `code` has the code length of every id that occurs; the codes follow from
 the lengths. `blocks` has rows in ascending document order within each `part`, and parts ascend too:
 
-* `part`, `block`: place of the block; `before`: tokens of the part before it,
+* `part`, `block`: place of the block; blocks ascend within a part but are not numbered one by one,
 * `doc_ids`, `n_tokens`: its documents and their lengths,
 * `checkpoints`: unsigned 32-bit bit offsets of every `CHECKPOINT`-th token,
 * `payload`: the code words, most significant bit first.
@@ -15,7 +15,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from shelfsense.llm.common import partitions, stored
@@ -149,7 +149,9 @@ def write_tokens(docs: DataFrame, path: str, tokenizer_path: str, end_id: int, p
         return b"\2" + values.astype("<u2").tobytes() if values.max() < 1 << 16 else b"\4" + ids
 
     rows = docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(tokenise, "part int, doc_id long, ids binary")
-    ordered = stored(rows.repartition(parts, "part").sortWithinPartitions("part", "doc_id", "ids"))
+    # A part is whole in one task only here. Files are read back in splits, so each row keeps its place.
+    ordered = rows.repartition(parts, "part").sortWithinPartitions("part", "doc_id", "ids")
+    ordered = stored(ordered.withColumn("place", F.monotonically_increasing_id()))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         totals = np.zeros(0, np.int64)
@@ -171,22 +173,22 @@ def write_tokens(docs: DataFrame, path: str, tokenizer_path: str, end_id: int, p
     def encode_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = Coder(symbols, lengths)
         held: list[tuple] = []
-        part, block, before, size = None, 0, 0, 0
+        part, block, size = None, 0, 0
 
         def close() -> pa.RecordBatch:
             arrays = [widen(ids) for _, ids in held]
             payload, checkpoints = coder.encode(np.concatenate(arrays))
-            columns = [[part], [block], [before], [[d for d, _ in held]], [[len(a) for a in arrays]], [checkpoints.tobytes()], [payload]]
+            columns = [[part], [block], [[d for d, _ in held]], [[len(a) for a in arrays]], [checkpoints.tobytes()], [payload]]
             return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, BLOCK_KINDS)], BLOCK_NAMES)
 
         for batch in batches:
-            for own, doc_id, ids in zip(*(batch.column(name).to_pylist() for name in ("part", "doc_id", "ids"))):
+            for own, place, doc_id, ids in zip(*(batch.column(name).to_pylist() for name in ("part", "place", "doc_id", "ids"))):
                 n = (len(ids) - 1) // ids[0]
-                if held and (own != part or size + n > BLOCK_TOKENS):
+                if held and (own != part or place != block + len(held) or size + n > BLOCK_TOKENS):
                     yield close()
-                    block, before, held, size = block + 1, before + size, [], 0
-                if own != part:
-                    part, block, before = own, 0, 0
+                    held, size = [], 0
+                if not held:
+                    part, block = own, place
                 held.append((doc_id, ids))
                 size += n
         if held:
@@ -200,24 +202,31 @@ def widen(ids: bytes) -> np.ndarray:
 
 
 BLOCK_SCHEMA = (
-    "part int, block int, before long, doc_ids array<long>, n_tokens array<long>, checkpoints binary, payload binary"
+    "part int, block long, doc_ids array<long>, n_tokens array<long>, checkpoints binary, payload binary"
 )
-BLOCK_NAMES = ["part", "block", "before", "doc_ids", "n_tokens", "checkpoints", "payload"]
-BLOCK_KINDS = [pa.int32(), pa.int32(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.binary(), pa.binary()]
+BLOCK_NAMES = ["part", "block", "doc_ids", "n_tokens", "checkpoints", "payload"]
+BLOCK_KINDS = [pa.int32(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.binary(), pa.binary()]
 
 
 def read_tokens(spark: SparkSession, path: str) -> DataFrame:
     """Documents of a token folder: (doc_id, start, ids binary), `start` counting the tokens before it.
 
-    A block is decoded by itself. Only the totals of parts are summed up in order.
+    A block is decoded by itself. Totals of blocks are summed up in order within their part, and
+    those of parts over all.
     """
     code = spark.read.parquet(f"{path}/code").toPandas().sort_values("id")
     symbols, lengths = code["id"].to_numpy(np.int64), code["length"].to_numpy(np.int64)
     blocks = spark.read.schema(BLOCK_SCHEMA).parquet(f"{path}/blocks")
     inside = F.aggregate("n_tokens", F.lit(0).cast("long"), lambda total, n: total + n)
-    totals = blocks.groupBy("part").agg(F.sum(inside).alias("tokens"))
-    earlier = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select("part", F.coalesce(F.sum("tokens").over(earlier), F.lit(0)).alias("offset"))
+    sizes = blocks.select("part", "block", inside.alias("tokens"))
+    totals = sizes.groupBy("part").agg(F.sum("tokens").alias("tokens"))
+
+    def earlier(window: WindowSpec) -> Column:
+        return F.coalesce(F.sum("tokens").over(window.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+
+    begins = totals.select("part", earlier(Window.orderBy("part")).alias("offset"))
+    inner = sizes.select("part", "block", earlier(Window.partitionBy("part").orderBy("block")).alias("before"))
+    offsets = inner.join(begins, "part").select("part", "block", (F.col("offset") + F.col("before")).alias("offset"))
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = Coder(symbols, lengths)
@@ -229,8 +238,8 @@ def read_tokens(spark: SparkSession, path: str) -> DataFrame:
                 begins = ends - row["n_tokens"]
                 texts = [ids[b:e].tobytes() for b, e in zip(begins, ends)]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(row["doc_ids"], pa.int64()), pa.array(begins + row["before"] + row["offset"]), pa.array(texts, pa.binary())],
+                    [pa.array(row["doc_ids"], pa.int64()), pa.array(begins + row["offset"]), pa.array(texts, pa.binary())],
                     ["doc_id", "start", "ids"],
                 )
 
-    return blocks.join(offsets, "part").mapInArrow(decode, "doc_id long, start long, ids binary")
+    return blocks.join(offsets, ["part", "block"]).mapInArrow(decode, "doc_id long, start long, ids binary")

@@ -102,6 +102,32 @@ def test_token_files_round_trip(spark, docs, parts):
     assert sorted(got) == expected
 
 
+def test_token_files_of_split_parts(spark):
+    texts = [" ".join(f"{i * 7919 % 10007} {j * i % 9973}" for j in range(40)) for i in range(1500)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    hadoop = spark.sparkContext._jsc.hadoopConfiguration()
+    settings_of_files = {"spark.sql.files.maxPartitionBytes": "32k", "spark.sql.files.openCostInBytes": "1k"}
+    old = {key: spark.conf.get(key) for key in settings_of_files}
+    hadoop.set("parquet.block.size", "32768")
+    try:
+        for key, value in settings_of_files.items():
+            spark.conf.set(key, value)
+        path = new_path(spark)
+        huffman.write_tokens(docs, path, BYTE, 2, 2)
+        got = [(r.start, r.doc_id, bytes(r.ids)) for r in huffman.read_tokens(spark, path).collect()]
+        blocks = spark.read.parquet(f"{path}/blocks")
+        assert blocks.count() == blocks.select("part", "block").distinct().count() > 2
+    finally:
+        hadoop.unset("parquet.block.size")
+        for key, value in old.items():
+            spark.conf.set(key, value)
+    start, expected = 0, []
+    for doc_id, ids in expected_ids(enumerate(texts), BYTE, 2):
+        expected.append((start, doc_id, ids.tobytes()))
+        start += len(ids)
+    assert sorted(got) == expected
+
+
 def test_no_documents(spark, no_docs):
     assert packing.pack_documents(no_docs, WORD, 1).count() == 0
     path = new_path(spark)
