@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfsense.llm.common import flat_bytes, slices
+from shelfsense.llm.common import digest, flat_bytes, slices
 
 Q = 8
 EDIT_SHARE = 0.08
@@ -180,7 +180,9 @@ def _find_block(docs: DataFrame, block: list, share: float, schema: str) -> Data
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """Documents in which no benchmark passage was found.
 
-    Rows of one doc_id go together, also those with a null doc_id.
+    A row goes by its own text: another one with its doc_id, or without one like it, does not count.
     """
-    leaked = find_passages(docs, benchmark).select(F.col("doc_id").alias("_leaked")).distinct()
-    return docs.join(leaked, docs["doc_id"].eqNullSafe(leaked["_leaked"]), "left_anti")
+    key = digest("doc_id", "text")
+    leaked = find_passages(docs.select(key.alias("doc_id"), "text"), benchmark).select(F.col("doc_id").alias("_leaked")).distinct()
+    keyed = docs.withColumn("_key", key)
+    return keyed.join(leaked, keyed["_key"] == leaked["_leaked"], "left_anti").drop("_key")

@@ -18,6 +18,7 @@ from shelfsense.llm.tokens import tokenize
 WINDOW = 2048
 BATCH_PIECES = 2048
 FILLER_EVERY, FILLER = 8, 256
+LOT = 64
 
 
 def cut_pieces(tokens: DataFrame, window: int = WINDOW) -> DataFrame:
@@ -108,17 +109,23 @@ def pack_lengths(lengths: np.ndarray, capacity: int) -> np.ndarray:
 def pack(pieces: DataFrame, capacity: int = WINDOW, batch_pieces: int = BATCH_PIECES) -> DataFrame:
     """Add `sequence_id` and `offset` to pieces with `doc_id`, `start`, `length`; other columns stay.
 
-    Pieces are dealt into batches by a hash of (doc_id, start), about `batch_pieces` to each, so
-    neither a long document nor a hot id makes a large batch; a batch is packed in one task. The
-    batches depend on the rows alone, so a repeated task gives the same windows. Rows with equal
-    keys are packed one by one. An empty table gives an empty result; pieces of length 0 are dropped.
+    Pieces are dealt into batches by a hash of the whole row, about `batch_pieces` to each; a batch
+    is packed in one task. Equal rows are counted and dealt in lots of `LOT`. So neither a long
+    document nor a hot id, a null one or a repeated row makes a large batch. The batches depend on
+    the rows alone, so a repeated task gives the same windows. An empty table gives an empty result;
+    pieces of length 0 are dropped.
     """
     pieces = pieces.filter("length > 0")
     batches = max(1, round(pieces.count() / batch_pieces))
-    keyed = pieces.withColumn("_batch", F.pmod(F.xxhash64("doc_id", "start"), F.lit(batches)))
     columns = pieces.columns
+    hashed = [f.name for f in pieces.schema if "map<" not in f.dataType.simpleString()]
+    lots = F.sequence(F.lit(0).cast("long"), F.col("_copies") - 1, F.lit(LOT).cast("long"))
+    counted = pieces.groupBy(*columns).agg(F.count("*").alias("_copies")).withColumn("_lot", F.explode(lots))
+    counted = counted.withColumn("_copies", F.least(F.lit(LOT).cast("long"), F.col("_copies") - F.col("_lot")))
+    keyed = counted.withColumn("_batch", F.pmod(F.xxhash64(*hashed, "_lot"), F.lit(batches)))
 
     def run(part: pd.DataFrame) -> pd.DataFrame:
+        part = part.loc[part.index.repeat(part["_copies"])]
         part = part.sort_values(["length", "doc_id", "start"], ascending=False, kind="stable")
         window = pack_lengths(part["length"].to_numpy(), capacity)
         order = np.argsort(window, kind="stable")

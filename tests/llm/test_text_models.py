@@ -151,6 +151,15 @@ def test_main_text(html, text):
     assert pagetext.main_text(html) == text
 
 
+def test_contaminated_rows_go_alone(spark):
+    item = "the benchmark passage that no training document may hold"
+    rows = [(None, f"before {item} after"), (None, "a clean text"), (None, None), (4, f"{item}!"), (4, "clean too"), (5, "clean")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    left = decontam.drop_contaminated(docs, spark.createDataFrame([(1, item)], "item_id long, text string"))
+    assert left.columns == docs.columns
+    assert sorted(map(tuple, left.collect()), key=repr) == sorted([rows[1], rows[2], rows[4], rows[5]], key=repr)
+
+
 def test_hostile_pages(spark):
     rows = [(1, None, None, "x"), (1, "u", "<article>a</article>", "x"), (None, "u", "", "x")]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string, text string")

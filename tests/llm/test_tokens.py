@@ -64,6 +64,19 @@ def test_packing_tiles_every_document(spark, docs):
         assert (group["offset"] == group["length"].cumsum() - group["length"]).all() and group["length"].sum() <= 64
 
 
+def test_hot_ids_and_repeats_make_no_large_batch(spark):
+    rows = [(None, 0, 100 + i % 50, i, 200) for i in range(1500)] + [(None, 0, 100, -1, 100)] * 1500 + [(i, 0, 90, i, 90) for i in range(1000)]
+    pieces = spark.createDataFrame(rows, "doc_id long, start long, length long, ids_crc32 long, doc_tokens long")
+    packed = packing.pack(pieces, 2048, 200).toPandas()
+    assert (packed["sequence_id"] // (1 << 32)).value_counts().max() < 600
+
+    def key(r):
+        return (-1 if r[0] is None or r[0] != r[0] else int(r[0]), *map(int, r[1:]))
+
+    assert sorted(map(key, packed[pieces.columns].itertuples(index=False))) == sorted(map(key, rows))
+    assert packed.groupby("sequence_id")["length"].sum().max() <= 2048
+
+
 def test_little_padding(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     rows = packing.pack_documents(docs, WORD, 1).toPandas()
