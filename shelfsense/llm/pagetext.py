@@ -130,37 +130,45 @@ def parse_lines(html: str) -> list[tuple[str, int, int]]:
     return parser.lines
 
 
-def content_lines(ratios: np.ndarray) -> tuple[int, int]:
-    """First and last line of the content: the widest cluster of smoothed ratios above the threshold.
+def _smooth(ratios: np.ndarray) -> np.ndarray:
+    steps = np.arange(-RADIUS, RADIUS + 1)
+    kernel = np.exp(-(steps**2) / (2.0 * (RADIUS / 2) ** 2))
+    weight = np.convolve(np.ones(len(ratios)), kernel, "full")[RADIUS : RADIUS + len(ratios)]
+    return np.convolve(ratios, kernel, "full")[RADIUS : RADIUS + len(ratios)] / weight
+
+
+def content_lines(ratios: np.ndarray, inside: np.ndarray) -> np.ndarray:
+    """Which lines are content: all clusters of smoothed ratios above the threshold, and what lies between them.
 
     Ratios are smoothed by a Gaussian over `RADIUS` lines to either side. The threshold is their
     standard deviation, but no more than their mean, so a page of even lines is content as a whole.
-    Clusters less than two radii apart are one.
+    On a page with an `article` or `main` element a line inside counts at least the mean ratio;
+    neither smoothing nor what lies between crosses the element's edge.
     """
-    steps = np.arange(-RADIUS, RADIUS + 1)
-    kernel = np.exp(-(steps**2) / (2.0 * (RADIUS / 2) ** 2))
-    weight = np.convolve(np.ones(len(ratios)), kernel, "full")[RADIUS : RADIUS + len(ratios)]
-    smooth = np.convolve(ratios, kernel, "full")[RADIUS : RADIUS + len(ratios)] / weight
-    above = np.flatnonzero(smooth >= min(smooth.std(), smooth.mean()))
-    clusters = np.split(above, np.flatnonzero(np.diff(above) > 2 * RADIUS) + 1)
-    best = max(clusters, key=lambda cluster: ratios[cluster].sum())
-    return int(best[0]), int(best[-1])
+    threshold = min(_smooth(ratios).std(), ratios.mean())
+    weighted = np.where(inside, np.maximum(ratios, ratios.mean()), ratios)
+    kept = np.zeros(len(ratios), bool)
+    cuts = np.flatnonzero(np.r_[True, inside[1:] != inside[:-1], True])
+    for begin, end in zip(cuts, cuts[1:]):
+        above = begin + np.flatnonzero(_smooth(weighted[begin:end]) >= threshold * (1 - 1e-9))
+        if len(above):
+            kept[above[0] : above[-1] + 1] = True
+    return kept
 
 
 def main_text(html: str) -> str:
     """The article of a page as one line of text; empty if there is none.
 
     Lines in elements that hold no article (menus, footers, adverts, forms, …) never count. Of the
-    rest the cluster of high text-to-tag ratios is the content. Where that cluster meets an
-    `article` or `main` element, the content is all of these elements, short lines included.
+    rest those with high text-to-tag ratios are the content, with the lines between them. All lines
+    of an `article` or `main` element reach the threshold; lines outside must do so by their own ratios.
     """
     lines = parse_lines(html)
     if not lines:
         return ""
-    first, last = content_lines(np.array([len(text) / max(1, tags) for text, tags, _ in lines]))
-    marked = any(inside for _, _, inside in lines[first : last + 1])
-    kept = [text for text, _, inside in lines if inside] if marked else [text for text, _, _ in lines[first : last + 1]]
-    return " ".join(kept)
+    inside = np.array([inside > 0 for _, _, inside in lines])
+    kept = content_lines(np.array([len(text) / max(1, tags) for text, tags, _ in lines]), inside)
+    return " ".join(text for (text, _, _), keep in zip(lines, kept) if keep)
 
 
 def extract(pages: DataFrame) -> DataFrame:

@@ -151,6 +151,22 @@ def test_main_text(html, text):
     assert pagetext.main_text(html) == text
 
 
+def test_pages_without_article_keep_all_clusters():
+    parts = [[f"{kind}{i} " + "x" * size for i in range(n)] for kind, n, size in (("a", 6, 296), ("b", 10, 4), ("c", 5, 276))]
+    lines = [line for part in parts for line in part]
+    body = "".join(f"<p>{line}</p>" for line in lines)
+    assert pagetext.main_text(f"<div>{body}</div>") == " ".join(lines)
+    menu = "".join(f"<div><span><a href=/>m{i}</a></span></div>" for i in range(12))
+    assert pagetext.main_text(f"<div>{menu}</div><div>{body}</div><div>{menu}</div>").count("m") < 8
+
+
+def test_article_is_a_weight():
+    teaser, body = "<article><p>teaser</p></article>", "".join(f"<p>{'body text ' * 30}</p>" for _ in range(6))
+    link = "<div><span><a href=/>link</a></span></div>" * 5
+    text = pagetext.main_text(f"<div>{body}</div>{teaser}{link}")
+    assert text.count("body text") == 180 and "teaser" in text and "link" not in text
+
+
 def test_contaminated_rows_go_alone(spark):
     item = "the benchmark passage that no training document may hold"
     rows = [(None, f"before {item} after"), (None, "a clean text"), (None, None), (4, f"{item}!"), (4, "clean too"), (5, "clean")]
