@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from shelfsense.llm import chat, decontam, huffman, linededup, neighbours, packing, pagetext, quality, repeats, setjoin
+from shelfsense.llm import chat, decontam, huffman, linededup, minhash, neighbours, packing, pagetext, quality, repeats, setjoin
 from shelfsense.llm.common import digest, new_path
 from shelfsense.sources.tables import table
 
@@ -74,6 +74,11 @@ def op10_page_text(spark: SparkSession, folder: str) -> DataFrame:
     return pagetext.extract(table(spark, folder, "pages"))
 
 
+def op11_near_copies(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document with the component of its near copies, and whether it is the one that stays."""
+    return minhash.near_copies(table(spark, folder, "documents"))
+
+
 def op8_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """Every document without lines of repeated three-line windows."""
     cleaned = linededup.drop_repeated_lines(table(spark, folder, "documents"))
@@ -144,5 +149,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_line_dedup": op8_line_dedup,
     "op9_neighbours": op9_neighbours,
     "op10_page_text": op10_page_text,
+    "op11_near_copies": op11_near_copies,
 }
 ORACLE_SQL: dict[str, str] = {"op8_line_dedup": linededup.SQL}
