@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from shelfsense.llm import chat, decontam, huffman, linededup, minhash, neighbours, packing, pagetext, quality, repeats, setjoin
+from shelfsense.llm import alignment, chat, decontam, divergence, huffman, linededup, minhash, neighbours, packing, pagetext
+from shelfsense.llm import quality, repeats, setjoin
 from shelfsense.llm.common import digest, new_path
 from shelfsense.sources.tables import table
 
@@ -79,6 +80,16 @@ def op11_near_copies(spark: SparkSession, folder: str) -> DataFrame:
     return minhash.near_copies(table(spark, folder, "documents"))
 
 
+def op12_divergence(spark: SparkSession, folder: str) -> DataFrame:
+    """How the words of every source differ from those of the others of its language."""
+    return divergence.divergence(table(spark, folder, "documents"))
+
+
+def op13_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    """How the tokens of two tokenizers align in every document, with corpus counts of their links."""
+    return alignment.align(table(spark, folder, "documents"), _tokenizer("byte_bpe_50k.json"), _tokenizer("piece_bpe_32k.model"))
+
+
 def op8_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """Every document without lines of repeated three-line windows."""
     cleaned = linededup.drop_repeated_lines(table(spark, folder, "documents"))
@@ -150,5 +161,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_neighbours": op9_neighbours,
     "op10_page_text": op10_page_text,
     "op11_near_copies": op11_near_copies,
+    "op12_divergence": op12_divergence,
+    "op13_alignment": op13_alignment,
 }
-ORACLE_SQL: dict[str, str] = {"op8_line_dedup": linededup.SQL}
+ORACLE_SQL: dict[str, str] = {"op8_line_dedup": linededup.SQL, "op12_divergence": divergence.SQL}
