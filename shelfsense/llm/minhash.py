@@ -7,9 +7,9 @@
    rarest of each (prefix lists). Only these lists are merged; the longer ones are skipped, and their
    coordinates are counted on the two signatures.
 4. Collisions in the prefix lists are counted first against one node of each list, the likeliest of
-   another component: that links most copies. Then lists that still hold several components are merged
-   in full. Pairs above the match threshold that a bitmap of the shingles does not rule out are
-   confirmed on the whole sets.
+   another component: that links most copies. Then lists that still hold several components are merged,
+   first for the best partner of each node, and in the end in full. Pairs above the match threshold that
+   a bitmap of the shingles does not rule out are confirmed on the whole sets.
 
 Two sets of similarity 0.85 or more have fewer than `MATCHES` equal coordinates with a probability of at
 most 2.4e-6 (the binomial tail at 0.85); no other step can lose a link between components.
@@ -32,7 +32,6 @@ WORDS = 5
 PERCENT = 85
 COORDINATES = 64
 MATCHES = 40
-EARLY_ROUNDS = 2
 TILE = 512
 SLICE_BYTES = 1 << 20
 CACHED_WORDS = 150_000
@@ -220,14 +219,17 @@ def _cells(rows: DataFrame) -> DataFrame:
     return whole.unionByName(placed.join(sides, ["key", "tile"]).select("key", "cell", "node", "component"))
 
 
-def _merged_pairs(cells: DataFrame, sets: DataFrame) -> DataFrame:
-    """Pairs (a, b) of different components in one cell, above the match threshold and not ruled out by bitmaps."""
+def _merged_pairs(cells: DataFrame, sets: DataFrame, best_only: bool) -> DataFrame:
+    """Pairs (a, b) of different components in one cell, above the match threshold and not ruled out by bitmaps.
+
+    `best_only` gives at most one pair for each node, by the greatest similarity that the bitmaps allow.
+    """
     names = ["key", "cell", "node", "component", "n", "signature", "bitmap"]
 
-    def merge(nodes: np.ndarray, component: np.ndarray, n: np.ndarray, marks: np.ndarray, maps: list[bytes]) -> np.ndarray:
+    def merge(nodes: np.ndarray, component: np.ndarray, n: np.ndarray, marks: np.ndarray, maps: list[bytes]) -> list[tuple[float, int, int]]:
         order = np.argsort(n, kind="stable")
         nodes, component, n, marks = nodes[order], component[order], n[order], marks[order]
-        found = []
+        found: list[tuple[float, int, int]] = []
         for i in range(len(nodes) - 1):
             last = np.searchsorted(n, 100 * n[i] // PERCENT, "right")
             near = i + 1 + np.flatnonzero(component[i + 1 : last] != component[i])
@@ -241,30 +243,36 @@ def _merged_pairs(cells: DataFrame, sets: DataFrame) -> DataFrame:
                     b = np.bitwise_or.reduce(b.reshape(-1, len(a)), axis=0)
                 # A shared shingle has a bit in common; of shingles on one bit all but the first may be shared too.
                 spare = min(n[i] - np.bitwise_count(a).sum(dtype=np.int64), n[j] - np.bitwise_count(b).sum(dtype=np.int64))
-                most = np.bitwise_count(a & b).sum(dtype=np.int64) + max(spare, 0)
-                if linked(min(most, n[i]), n[i], n[j]):
-                    found.append((nodes[i], nodes[j]))
-        return np.sort(np.array(found, np.int64).reshape(-1, 2), axis=1)
+                most = min(np.bitwise_count(a & b).sum(dtype=np.int64) + max(spare, 0), n[i])
+                if linked(most, n[i], n[j]):
+                    found.append((most / (n[i] + n[j] - most), min(nodes[i], nodes[j]), max(nodes[i], nodes[j])))
+        if not best_only:
+            return found
+        met: set[int] = set()
+        best = []
+        for pair in sorted(found, reverse=True):
+            if not met.issuperset(pair[1:]):
+                best.append(pair)
+                met.update(pair[1:])
+        return best
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
-        seen = np.zeros((0, 2), np.int64)  # pairs that this task has given lately
+        out: list[tuple[float, int, int]] = []
 
-        def close() -> np.ndarray:
+        def close() -> None:
             table = pa.Table.from_batches(held)
             numbers = [table.column(name).to_numpy() for name in names[2:5]]
             marks = np.frombuffer(b"".join(table.column("signature").to_pylist()), "<u4").reshape(-1, COORDINATES)
-            return merge(*numbers, marks, table.column("bitmap").to_pylist())
+            out.extend(merge(*numbers, marks, table.column("bitmap").to_pylist()))
+            held.clear()
 
-        def new(pairs: np.ndarray) -> pa.RecordBatch:
-            nonlocal seen
-            both = np.concatenate([seen, pairs])
-            first = np.unique(both, axis=0, return_index=True)[1]
-            fresh = both[np.sort(first[first >= len(seen)])]
-            seen = np.concatenate([seen, fresh])[-100_000:]
-            return pa.RecordBatch.from_arrays([pa.array(fresh[:, 0].copy()), pa.array(fresh[:, 1].copy())], ["a", "b"])
+        def given() -> pa.RecordBatch:
+            columns = list(zip(*out)) or [[], [], []]
+            out.clear()
+            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, (pa.float64(), pa.int64(), pa.int64()))], ["alike", "a", "b"])
 
-        last, out = None, []
+        last = None
         for batch in batches:
             if not batch.num_rows:
                 continue
@@ -273,22 +281,23 @@ def _merged_pairs(cells: DataFrame, sets: DataFrame) -> DataFrame:
             for begin, end in zip(cuts[:-1], cuts[1:]):
                 here = (key[begin], cell[begin])
                 if held and here != last:
-                    out.append(close())
-                    held.clear()
+                    close()
                 last = here
                 held.append(batch.slice(begin, end - begin))
-            if sum(map(len, out)) > 10_000:
-                yield new(np.concatenate(out))
-                out = []
+            if len(out) > 10_000:
+                yield given()
         if held:
-            out.append(close())
-        if out:
-            yield new(np.concatenate(out))
+            close()
+        yield given()
 
     payload = sets.select("node", "n", "signature", "bitmap")
     rows = cells.join(payload, "node").select(*names)
     dealt = rows.repartition(partitions(rows.sparkSession), "key", "cell").sortWithinPartitions("key", "cell", "node")
-    return dealt.mapInArrow(run, "a long, b long")
+    pairs = dealt.mapInArrow(run, "alike double, a long, b long")
+    if best_only:
+        ends = pairs.select(F.explode(F.array("a", "b")).alias("node"), F.struct("alike", "a", "b").alias("pair"))
+        pairs = ends.groupBy("node").agg(F.max("pair").alias("pair")).select("pair.a", "pair.b")
+    return pairs.select("a", "b").distinct()
 
 
 def near_copies(docs: DataFrame) -> DataFrame:
@@ -310,21 +319,16 @@ def near_copies(docs: DataFrame) -> DataFrame:
     wanted = nodes.join(postings.select("node").distinct(), "node", "left_semi")
     sets = stored(_node_sets(docs, wanted))
 
-    links = docs.sparkSession.createDataFrame([], "a long, b long")
-    components = docs.sparkSession.createDataFrame([], "node long, component long")
-    for _ in range(EARLY_ROUNDS):
-        pairs = _likeliest_pairs(_with_components(postings, components))
-        links = links.unionAll(stored(_confirmed(pairs, sets)))
-        components = connected_components(links)
-    cells = _cells(stored(_with_components(postings, components)))
-    links = links.unionAll(stored(_confirmed(_merged_pairs(cells, sets).distinct(), sets)))
-
     # Rows of one doc_id are one document, whatever their texts.
     members = named.select("doc_id", "digest").join(nodes.select("digest", "node"), "digest").select("doc_id", "node").distinct()
     members = stored(members)
     several = members.groupBy("doc_id").agg(F.min("node").alias("a"), F.max("node").alias("z")).filter("a <> z")
-    same_id = members.join(several, "doc_id").filter("node <> a").select("a", F.col("node").alias("b"))
-    components = connected_components(links.unionAll(same_id))
+    links = stored(members.join(several, "doc_id").filter("node <> a").select("a", F.col("node").alias("b")))
+    components = docs.sparkSession.createDataFrame([], "node long, component long")
+    for step in (_likeliest_pairs, lambda rows: _merged_pairs(_cells(rows), sets, True), lambda rows: _merged_pairs(_cells(rows), sets, False)):
+        pairs = stored(step(stored(_with_components(postings, components))))
+        links = links.unionAll(stored(_confirmed(pairs, sets)))
+        components = connected_components(links)
     placed = members.join(components, "node", "left").select("doc_id", F.coalesce("component", "node").alias("component"))
     smallest = placed.groupBy("component").agg(F.min("doc_id").alias("component_id"))
     found = placed.join(smallest, "component").select("doc_id", "component_id").distinct()

@@ -62,7 +62,6 @@ def test_families_on_both_sides_of_the_threshold(spark):
 
 def test_a_list_longer_than_a_tile(spark, monkeypatch):
     monkeypatch.setattr(minhash, "TILE", 8)
-    monkeypatch.setattr(minhash, "EARLY_ROUNDS", 1)
     rng = random.Random(5)
     rows = list(family(rng, 0, 150, 80, 3)) + list(family(rng, 1000, 60, 50, 1, 40))
     assert got(spark.createDataFrame(rows, "doc_id long, text string")) == brute(rows)
