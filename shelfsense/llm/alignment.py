@@ -31,9 +31,10 @@ SEGMENT_BITS = 8
 SALTS = 8
 SLACK = 2  # bits of a level for each pair that is left
 SLICE_BYTES = 64 << 20
-CACHED_CHUNKS = 120_000
-CACHED_CHARS = 24_000_000
+CACHED_CHUNKS = 400_000
+CACHED_TOKENS = 4_000_000
 LONGEST_CACHED = 60
+TEXTS = 200  # read at a time
 #: A space behind anything but white space: no token of either tokenizer covers both.
 CUT = re.compile(r"(?<=\S)(?= )")
 
@@ -96,8 +97,26 @@ class PairTable:
         return place
 
 
+class _Known(dict):
+    """Numbers of chunks; a new chunk gets the next number and waits to be aligned."""
+
+    def __init__(self, aligner: Aligner):
+        super().__init__()
+        self.aligner = aligner
+
+    def __missing__(self, chunk: str) -> int:
+        number = self.aligner.number(chunk)
+        if len(chunk) <= LONGEST_CACHED:
+            self[chunk] = number
+        return number
+
+
 class Aligner:
-    """Aligns texts, and remembers the chunks that it has met. A chunk is a space and what follows it."""
+    """Aligns texts, and remembers the chunks that it has met. A chunk is a space and what follows it.
+
+    What is known of chunk i: `sizes[i]` (n_a, n_b, n_groups, n_links), its linked pairs (those of all
+    chunks follow each other in `pairs`), and, if wanted, its groups as text.
+    """
 
     def __init__(self, path_a: str, path_b: str):
         import sentencepiece
@@ -113,67 +132,91 @@ class Aligner:
             self.bytes_a[number] = bytes(shown[c] for c in entry) if all(c in shown for c in entry) else entry.encode()
         pieces = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
         self.bytes_b = [bytes([int(p[3:-1], 16)]) if self.b.is_byte(i) else p.replace("▁", " ").encode() for i, p in enumerate(pieces)]
+        self.lengths_a, self.lengths_b = (np.array(list(map(len, entries)), np.int64) for entries in (self.bytes_a, self.bytes_b))
         self.n_b = len(pieces)
         # Pieces hold the space only at their front, so no merge goes over a cut.
         apart = all("▁" not in p.lstrip("▁") for p in pieces)
         kept = self.b.decode(self.b.encode(" a  b ")) == " a  b "
         self.cuttable = apart and kept and cutting_rule(path_a) == "keep"
-        self.clear()
+        self.clear(False)
 
-    def clear(self) -> None:
-        self.known: dict[str, int] = {}
+    def clear(self, with_groups: bool) -> None:
+        self.with_groups = with_groups
+        self.known = _Known(self)
+        self.waiting: list[str] = []
         self.pairs: list[np.ndarray] = []
         self.groups: list[str] = []
-        self.sizes: list[tuple[int, int, int, int]] = []
+        self.sizes = np.zeros((0, 4), np.int64)
         self.unequal: set[int] = set()  # chunks whose tokens are not the bytes of the text
-        self.chars = 0
+        self.tokens = 0
 
     @property
     def full(self) -> bool:
-        return len(self.groups) > CACHED_CHUNKS or self.chars > CACHED_CHARS
-
-    def _add(self, chunk: str) -> int:
-        ids_a = np.array(self.a.encode(chunk, add_special_tokens=False).ids, np.int64)
-        ids_b = np.array(self.b.encode(chunk[1:], num_threads=1), np.int64)  # the model adds the space
-        parts_a, parts_b = [self.bytes_a[i] for i in ids_a.tolist()], [self.bytes_b[i] for i in ids_b.tolist()]
-        number, whole = len(self.groups), chunk.encode()
-        if b"".join(parts_a) != whole or b"".join(parts_b) != whole:
-            self.unequal.add(number)
-            ids_a, ids_b, parts_a, parts_b = ids_a[:0], ids_b[:0], [], []
-        ends_a, ends_b = (np.cumsum(np.fromiter(map(len, parts), np.int64, len(parts))) for parts in (parts_a, parts_b))
+        return len(self.sizes) > CACHED_CHUNKS or self.tokens > CACHED_TOKENS
+
+    def number(self, chunk: str) -> int:
+        self.waiting.append(chunk)
+        return len(self.sizes) + len(self.waiting) - 1
+
+    def _tokens(self, encoded: list[list[int]], entries: list[bytes], chunks: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(all ids, ids of each chunk, whether the tokens are the bytes of the chunk)."""
+        counts = np.fromiter(map(len, encoded), np.int64, len(encoded))
+        ids = np.fromiter((i for own in encoded for i in own), np.int64, int(counts.sum()))
+        equal = np.array([b"".join([entries[i] for i in own]) == chunk for own, chunk in zip(encoded, chunks)], bool)
+        return ids, counts, equal
+
+    def align_waiting(self) -> None:
+        """Align the chunks that wait, all at once: the end of a chunk is the end of a token of each."""
+        chunks, self.waiting = self.waiting, []
+        if not chunks:
+            return
+        whole = [chunk.encode() for chunk in chunks]
+        encoded_a = [e.ids for e in self.a.encode_batch_fast(chunks, add_special_tokens=False)]
+        ids_a, n_a, equal_a = self._tokens(encoded_a, self.bytes_a, whole)
+        ids_b, n_b, equal_b = self._tokens(self.b.encode([c[1:] for c in chunks], num_threads=1), self.bytes_b, whole)  # the model adds the space
+        equal = equal_a & equal_b
+        if not equal.all():
+            self.unequal.update((len(self.sizes) + np.flatnonzero(~equal)).tolist())
+            ids_a, ids_b = ids_a[np.repeat(equal, n_a)], ids_b[np.repeat(equal, n_b)]
+            n_a, n_b = n_a * equal, n_b * equal
+        ends_a, ends_b = np.cumsum(self.lengths_a[ids_a]), np.cumsum(self.lengths_b[ids_b])
         ends = np.union1d(ends_a, ends_b)  # from one end to the next there is one token of each
         pairs = ids_a[np.searchsorted(ends_a, ends)] * self.n_b + ids_b[np.searchsorted(ends_b, ends)]
         cuts = np.intersect1d(ends_a, ends_b, assume_unique=True)
-        text_a, text_b, begin_a, begin_b, groups = list(map(str, ids_a.tolist())), list(map(str, ids_b.tolist())), 0, 0, []
-        for end_a, end_b in zip((np.searchsorted(ends_a, cuts) + 1).tolist(), (np.searchsorted(ends_b, cuts) + 1).tolist()):
-            groups.append(",".join(text_a[begin_a:end_a]) + "|" + ",".join(text_b[begin_b:end_b]))
-            begin_a, begin_b = end_a, end_b
+        last = np.r_[0, ends_a][np.cumsum(n_a)]  # where each chunk ends
+        n_links, n_groups = (np.diff(np.searchsorted(x, last, "right"), prepend=0) for x in (ends, cuts))
         self.pairs.append(pairs.astype(np.uint64))
-        self.groups.append(";".join(groups))
-        self.sizes.append((len(ids_a), len(ids_b), len(cuts), len(ends)))
-        self.chars += 24 * len(ends) + 2 * len(chunk)
-        return number
-
-    def _number(self, chunk: str) -> int:
-        number = self.known.get(chunk)
-        if number is None:
-            number = self._add(chunk)
-            if len(chunk) <= LONGEST_CACHED:
-                self.known[chunk] = number
-        return number
-
-    def read(self, text: str | None) -> list[int]:
-        """Numbers of the chunks of a text; empty if it has no tokens."""
-        if not text:
-            return []
-        whole = " " + text
-        if not self.cuttable:
-            numbers = [self._add(whole)]
-        else:
-            numbers = [self._number(chunk) for chunk in CUT.split(whole)]
-            if len(numbers) > 1 and not self.unequal.isdisjoint(numbers):
-                numbers = [self._add(whole)]
-        return numbers if self.unequal.isdisjoint(numbers) else []
+        self.sizes = np.concatenate([self.sizes, np.c_[n_a, n_b, n_groups, n_links]])
+        self.tokens += len(ids_a) + len(ids_b)
+        if self.with_groups:
+            text_a, text_b, begin_a, begin_b, texts = list(map(str, ids_a.tolist())), list(map(str, ids_b.tolist())), 0, 0, []
+            for end_a, end_b in zip((np.searchsorted(ends_a, cuts) + 1).tolist(), (np.searchsorted(ends_b, cuts) + 1).tolist()):
+                texts.append(",".join(text_a[begin_a:end_a]) + "|" + ",".join(text_b[begin_b:end_b]))
+                begin_a, begin_b = end_a, end_b
+            bounds = np.r_[0, np.cumsum(n_groups)].tolist()
+            self.groups += [";".join(texts[i:j]) for i, j in zip(bounds, bounds[1:])]
+
+    def read(self, texts: list[str | None]) -> list[np.ndarray]:
+        """Numbers of the chunks of each text; none if it has no tokens."""
+        get = self.known.__getitem__
+        numbers = []
+        for text in texts:
+            if not text:
+                numbers.append([])
+            elif self.cuttable:
+                numbers.append(list(map(get, CUT.split(" " + text))))
+            else:
+                numbers.append([self.number(" " + text)])
+        self.align_waiting()
+        if self.unequal:
+            again = [i for i, own in enumerate(numbers) if not self.unequal.isdisjoint(own)]
+            for i in again:  # the whole text decides
+                numbers[i] = [self.number(" " + texts[i])] if len(numbers[i]) > 1 else numbers[i]
+            self.align_waiting()
+            for i in again:
+                if not self.unequal.isdisjoint(numbers[i]):
+                    numbers[i] = []
+        return [np.array(own, np.int64) for own in numbers]
 
 
 def _aligner(path_a: str, path_b: str) -> Aligner:
@@ -193,14 +236,13 @@ def _counted(docs: DataFrame, path_a: str, path_b: str) -> DataFrame:
         from pyspark import TaskContext
 
         aligner, salt = _aligner(path_a, path_b), TaskContext.get().partitionId() % SALTS
-        aligner.clear()
+        aligner.clear(False)
         times = np.zeros(0, np.int64)
 
         def close() -> pa.RecordBatch:
-            used = np.flatnonzero(times)
-            own = [aligner.pairs[i] for i in used.tolist()]
-            pairs = np.concatenate(own) if own else np.zeros(0, np.uint64)
-            weights = np.repeat(times[used], [len(p) for p in own])
+            pairs = np.concatenate([np.zeros(0, np.uint64), *aligner.pairs])
+            weights = np.repeat(times, aligner.sizes[:, 3])
+            pairs, weights = pairs[weights > 0], weights[weights > 0]
             order = np.argsort(pairs, kind="stable")
             pairs, weights = pairs[order], weights[order]
             first = np.flatnonzero(np.r_[True, pairs[1:] != pairs[:-1]]) if len(pairs) else np.zeros(0, np.int64)
@@ -211,17 +253,15 @@ def _counted(docs: DataFrame, path_a: str, path_b: str) -> DataFrame:
             arrays = [pa.array(columns[0], pa.int32()), pa.array([salt] * len(rows), pa.int32()), *(pa.array(c, pa.binary()) for c in columns[1:])]
             return pa.RecordBatch.from_arrays(arrays, ["segment", "salt", "pairs", "counts"])
 
-        for batch in batches:
-            for text in batch.column("text"):
-                numbers = aligner.read(text.as_py())
-                if len(times) < len(aligner.groups):
-                    times = np.concatenate([times, np.zeros(len(aligner.groups), np.int64)])
-                if numbers:
-                    found, again = np.unique(np.array(numbers, np.int64), return_counts=True)
-                    times[found] += again
+        for whole in batches:
+            for start in range(0, whole.num_rows, TEXTS):
+                numbers = aligner.read(whole.column("text").slice(start, TEXTS).to_pylist())
+                found = np.bincount(np.concatenate(numbers), minlength=len(aligner.sizes))
+                found[: len(times)] += times
+                times = found
                 if aligner.full:
                     yield close()
-                    aligner.clear()
+                    aligner.clear(False)
                     times = np.zeros(0, np.int64)
         yield close()
 
@@ -326,20 +366,21 @@ class _Lookup:
         self.counts = np.concatenate([np.zeros(0, np.int64), *read("counts", np.int64)])
         self.highest = highest
 
-    def sums(self, aligner: Aligner, first: int) -> np.ndarray:
-        """Rows (n_a, n_b, n_groups, n_links, n_best, count_sum) of chunks from number `first` on."""
-        own = aligner.pairs[first:]
-        pairs = np.concatenate(own) if own else np.zeros(0, np.uint64)
+    def sums(self, aligner: Aligner, chunks: int, pieces: int) -> np.ndarray:
+        """Rows (n_a, n_b, n_groups, n_links, n_best, count_sum) of chunks from number `chunks` on.
+
+        Their pairs are in `aligner.pairs` from list `pieces` on.
+        """
+        pairs = np.concatenate([np.zeros(0, np.uint64), *aligner.pairs[pieces:]])
         place = self.table.places(pairs)
         there = place >= 0
         there[there] = self.pairs[place[there]] == pairs[there]  # verified
         counts = np.where(there, self.counts[np.where(there, place, 0)], 0) if len(self.counts) else np.zeros(len(pairs), np.int64)
         best = there & (counts == self.highest[(pairs % np.uint64(aligner.n_b)).astype(np.int64)])
-        lengths = np.array([len(p) for p in own], np.int64)
-        ends = np.cumsum(lengths)
+        own = aligner.sizes[chunks:]
+        ends = np.cumsum(own[:, 3])
         totals = [np.r_[0, np.cumsum(x.astype(np.int64))] for x in (best, counts)]
-        sums = [t[ends] - t[ends - lengths] for t in totals]
-        return np.c_[np.array(aligner.sizes[first:], np.int64).reshape(-1, 4), *sums]
+        return np.c_[own, *(t[ends] - t[ends - own[:, 3]] for t in totals)]
 
 
 LOOKED_UP = "n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, groups_sha256 string"
@@ -352,13 +393,14 @@ def _looked_up(rows: DataFrame, path_a: str, path_b: str, part: list[Row], highe
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         aligner, lookup = _aligner(path_a, path_b), _Lookup(shared.value, highest)
-        aligner.clear()
-        table = np.zeros((0, 6), np.int64)
+        aligner.clear(last)
+        table, pieces = np.zeros((0, 6), np.int64), 0
         for whole in batches:
-            for start in range(0, whole.num_rows, 200):
-                batch = whole.slice(start, 200)
-                read = [np.array(aligner.read(text.as_py()), np.int64) for text in batch.column("text")]
-                table = np.concatenate([table, lookup.sums(aligner, len(table))])
+            for start in range(0, whole.num_rows, TEXTS):
+                batch = whole.slice(start, TEXTS)
+                read = aligner.read(batch.column("text").to_pylist())
+                table = np.concatenate([table, lookup.sums(aligner, len(table), pieces)])
+                pieces = len(aligner.pairs)
                 sums = np.array([table[numbers].sum(0) for numbers in read], np.int64).reshape(-1, 6)
                 sums[:, 4] += batch.column("best").to_numpy()
                 sums[:, 5] += batch.column("total").to_numpy()
@@ -370,8 +412,8 @@ def _looked_up(rows: DataFrame, path_a: str, path_b: str, part: list[Row], highe
                     columns = [batch.column("doc_id"), batch.column("text"), pa.array(sums[:, 4].copy()), pa.array(sums[:, 5].copy())]
                     yield pa.RecordBatch.from_arrays(columns, ["doc_id", "text", "best", "total"])
                 if aligner.full:
-                    aligner.clear()
-                    table = table[:0]
+                    aligner.clear(last)
+                    table, pieces = table[:0], 0
 
     return rows.mapInArrow(run, f"doc_id {kind}, " + (LOOKED_UP if last else "text string, best long, total long"))
 
