@@ -144,6 +144,7 @@ class Aligner:
         self.with_groups = with_groups
         self.known = _Known(self)
         self.waiting: list[str] = []
+        self.uses = np.zeros(0, np.int64)
         self.pairs: list[np.ndarray] = []
         self.groups: list[str] = []
         self.sizes = np.zeros((0, 4), np.int64)
@@ -154,6 +155,31 @@ class Aligner:
     def full(self) -> bool:
         return len(self.sizes) > CACHED_CHUNKS or self.tokens > CACHED_TOKENS
 
+    def begin(self, with_groups: bool) -> None:
+        """Begin a task with what earlier tasks of this worker have left."""
+        if self.with_groups != with_groups:
+            self.clear(with_groups)
+        elif self.full:
+            self.trim()
+
+    def trim(self) -> None:
+        """Keep the chunks that were met most often, at most half of the bound; the others go and numbers change."""
+        least = 2
+        while (self.uses >= least).sum() > CACHED_CHUNKS // 2:
+            least *= 2
+        keep = self.uses >= least
+        places = (np.cumsum(keep) - 1).tolist()
+        known = _Known(self)
+        known.update((chunk, places[i]) for chunk, i in self.known.items() if keep[i])
+        self.known = known
+        self.unequal = {places[i] for i in self.unequal if keep[i]}
+        self.pairs = [np.concatenate([np.zeros(0, np.uint64), *self.pairs])[np.repeat(keep, self.sizes[:, 3])]]
+        self.groups = [text for text, kept in zip(self.groups, keep.tolist()) if kept]
+        self.sizes, self.uses = self.sizes[keep], self.uses[keep]
+        self.tokens = int(self.sizes[:, :2].sum())
+        if self.full:
+            self.clear(self.with_groups)
+
     def number(self, chunk: str) -> int:
         self.waiting.append(chunk)
         return len(self.sizes) + len(self.waiting) - 1
@@ -196,8 +222,8 @@ class Aligner:
             bounds = np.r_[0, np.cumsum(n_groups)].tolist()
             self.groups += [";".join(texts[i:j]) for i, j in zip(bounds, bounds[1:])]
 
-    def read(self, texts: list[str | None]) -> list[np.ndarray]:
-        """Numbers of the chunks of each text; none if it has no tokens."""
+    def read(self, texts: list[str | None]) -> tuple[list[np.ndarray], np.ndarray]:
+        """Numbers of the chunks of each text, none if it has no tokens; and how often each chunk was met in them."""
         get = self.known.__getitem__
         numbers = []
         for text in texts:
@@ -216,7 +242,10 @@ class Aligner:
             for i in again:
                 if not self.unequal.isdisjoint(numbers[i]):
                     numbers[i] = []
-        return [np.array(own, np.int64) for own in numbers]
+        numbers = [np.array(own, np.int64) for own in numbers]
+        met = np.bincount(np.concatenate([np.zeros(0, np.int64), *numbers]), minlength=len(self.sizes))
+        self.uses = np.r_[self.uses, np.zeros(len(met) - len(self.uses), np.int64)] + met
+        return numbers, met
 
 
 def _aligner(path_a: str, path_b: str) -> Aligner:
@@ -236,8 +265,8 @@ def _counted(docs: DataFrame, path_a: str, path_b: str) -> DataFrame:
         from pyspark import TaskContext
 
         aligner, salt = _aligner(path_a, path_b), TaskContext.get().partitionId() % SALTS
-        aligner.clear(False)
-        times = np.zeros(0, np.int64)
+        aligner.begin(False)
+        times = np.zeros(len(aligner.sizes), np.int64)
 
         def close() -> pa.RecordBatch:
             pairs = np.concatenate([np.zeros(0, np.uint64), *aligner.pairs])
@@ -255,14 +284,13 @@ def _counted(docs: DataFrame, path_a: str, path_b: str) -> DataFrame:
 
         for whole in batches:
             for start in range(0, whole.num_rows, TEXTS):
-                numbers = aligner.read(whole.column("text").slice(start, TEXTS).to_pylist())
-                found = np.bincount(np.concatenate(numbers), minlength=len(aligner.sizes))
-                found[: len(times)] += times
-                times = found
+                _, met = aligner.read(whole.column("text").slice(start, TEXTS).to_pylist())
+                met[: len(times)] += times
+                times = met
                 if aligner.full:
                     yield close()
-                    aligner.clear(False)
-                    times = np.zeros(0, np.int64)
+                    aligner.trim()
+                    times = np.zeros(len(aligner.sizes), np.int64)
         yield close()
 
     return docs.select("text").mapInArrow(run, PARTIAL)
@@ -393,12 +421,12 @@ def _looked_up(rows: DataFrame, path_a: str, path_b: str, part: list[Row], highe
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         aligner, lookup = _aligner(path_a, path_b), _Lookup(shared.value, highest)
-        aligner.clear(last)
-        table, pieces = np.zeros((0, 6), np.int64), 0
+        aligner.begin(last)
+        table, pieces = lookup.sums(aligner, 0, 0), len(aligner.pairs)
         for whole in batches:
             for start in range(0, whole.num_rows, TEXTS):
                 batch = whole.slice(start, TEXTS)
-                read = aligner.read(batch.column("text").to_pylist())
+                read, _ = aligner.read(batch.column("text").to_pylist())
                 table = np.concatenate([table, lookup.sums(aligner, len(table), pieces)])
                 pieces = len(aligner.pairs)
                 sums = np.array([table[numbers].sum(0) for numbers in read], np.int64).reshape(-1, 6)
@@ -412,8 +440,8 @@ def _looked_up(rows: DataFrame, path_a: str, path_b: str, part: list[Row], highe
                     columns = [batch.column("doc_id"), batch.column("text"), pa.array(sums[:, 4].copy()), pa.array(sums[:, 5].copy())]
                     yield pa.RecordBatch.from_arrays(columns, ["doc_id", "text", "best", "total"])
                 if aligner.full:
-                    aligner.clear(last)
-                    table, pieces = table[:0], 0
+                    aligner.trim()
+                    table, pieces = lookup.sums(aligner, 0, 0), len(aligner.pairs)
 
     return rows.mapInArrow(run, f"doc_id {kind}, " + (LOOKED_UP if last else "text string, best long, total long"))
 

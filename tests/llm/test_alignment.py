@@ -92,6 +92,14 @@ def test_odd_texts(spark, docs, no_docs, tokenizers):
     assert got(no_docs) == []
 
 
+def test_a_small_memory_of_words(spark, monkeypatch, tokenizers):
+    monkeypatch.setattr(alignment, "CACHED_CHUNKS", 30)
+    monkeypatch.setattr(alignment, "TEXTS", 3)
+    rows = [(i, text) for i, text in enumerate(ODD * 3)]
+    rows += [(100 + i, " ".join(f"w{(i * j) % 17} common words" for j in range(20))) for i in range(40)]
+    assert got(spark.createDataFrame(rows, "doc_id long, text string")) == brute(rows, tokenizers)
+
+
 def test_the_whole_table(spark, tokenizers):
     rows = list(table("sf0.001", "documents")[["doc_id", "text"]].itertuples(index=False, name=None))
     assert got(spark.read.parquet("/root/testdata/sf0.001/documents.parquet")) == brute(rows, tokenizers)
@@ -103,7 +111,7 @@ def test_chunks_give_the_tokens_of_the_whole_text(tokenizers, text):
     aligner = _kept()
     aligner.clear(False)
     aligner.read(["some words before", None])
-    (numbers,) = aligner.read([text])
+    (numbers,), _ = aligner.read([text])
     a, b, groups, links = plain(text, tokenizers)
     assert aligner.sizes[numbers].sum(0).tolist() == [len(a), len(b), len(groups), len(links)]
     pairs, begins = np.concatenate(aligner.pairs), np.cumsum(aligner.sizes[:, 3]) - aligner.sizes[:, 3]
