@@ -31,12 +31,14 @@ SEGMENT_BITS = 8
 SALTS = 8
 SLACK = 2  # bits of a level for each pair that is left
 SLICE_BYTES = 64 << 20
-CACHED_CHUNKS = 400_000
+CACHED_CHUNKS = 450_000
 CACHED_TOKENS = 4_000_000
 LONGEST_CACHED = 60
 TEXTS = 200  # read at a time
-#: A space behind anything but white space: no token of either tokenizer covers both.
-CUT = re.compile(r"(?<=\S)(?= )")
+JOINED = 200  # chunks that A reads as one text
+#: A space behind anything but white space, or a mark but the apostrophe behind a letter: no token of A covers both.
+CUT = re.compile(r"(?<=\S)(?= )|(?<=[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f])(?=[!-&(-/:-@\[-`{-~])")
+LETTER_AND_MARK = re.compile(r"[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f][!-&(-/:-@\[-`{-~]")
 
 
 def segment_of(pairs: np.ndarray) -> np.ndarray:
@@ -112,7 +114,7 @@ class _Known(dict):
 
 
 class Aligner:
-    """Aligns texts, and remembers the chunks that it has met. A chunk is a space and what follows it.
+    """Aligns texts, and remembers the chunks that it has met: a space and a word, or the marks behind a word.
 
     What is known of chunk i: `sizes[i]` (n_a, n_b, n_groups, n_links), its linked pairs (those of all
     chunks follow each other in `pairs`), and, if wanted, its groups as text.
@@ -134,9 +136,10 @@ class Aligner:
         self.bytes_b = [bytes([int(p[3:-1], 16)]) if self.b.is_byte(i) else p.replace("▁", " ").encode() for i, p in enumerate(pieces)]
         self.lengths_a, self.lengths_b = (np.array(list(map(len, entries)), np.int64) for entries in (self.bytes_a, self.bytes_b))
         self.n_b = len(pieces)
-        # Pieces hold the space only at their front, so no merge goes over a cut.
-        apart = all("▁" not in p.lstrip("▁") for p in pieces)
-        kept = self.b.decode(self.b.encode(" a  b ")) == " a  b "
+        # Pieces hold the space only at their front, and no mark behind a letter, so no merge goes over a cut.
+        texts = [p for i, p in enumerate(pieces) if not (self.b.is_control(i) or self.b.is_unknown(i) or self.b.is_byte(i))]
+        apart = all("▁" not in p.lstrip("▁") and not LETTER_AND_MARK.search(p) for p in texts)
+        kept = self.b.decode(self.b.encode(" a  b ")) == " a  b " and len(self.b.encode("a")) == 1
         self.cuttable = apart and kept and cutting_rule(path_a) == "keep"
         self.clear(False)
 
@@ -184,11 +187,28 @@ class Aligner:
         self.waiting.append(chunk)
         return len(self.sizes) + len(self.waiting) - 1
 
-    def _tokens(self, encoded: list[list[int]], entries: list[bytes], chunks: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(all ids, ids of each chunk, whether the tokens are the bytes of the chunk)."""
+    def _read_a(self, chunks: list[str], whole: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(all ids of A, ids of each chunk, whether the tokens are the bytes of the chunk).
+
+        Chunks that follow each other are read as one text; one that ends in white space ends a text.
+        """
+        texts: list[list[str]] = [[]]
+        for chunk in chunks:
+            if len(texts[-1]) == JOINED or (texts[-1] and (texts[-1][-1][-1].isspace() or not self.cuttable)):
+                texts.append([])
+            texts[-1].append(chunk)
+        encoded = [e.ids for e in self.a.encode_batch_fast(["".join(text) for text in texts], add_special_tokens=False)]
+        ids = np.fromiter((i for own in encoded for i in own), np.int64, sum(map(len, encoded)))
+        ends, own_ends = np.cumsum(self.lengths_a[ids]), np.cumsum(np.fromiter(map(len, whole), np.int64, len(whole)))
+        counts = np.diff(np.searchsorted(ends, own_ends, "right"), prepend=0)
+        exact = len(ends) and np.isin(own_ends, ends).all() and b"".join([self.bytes_a[i] for i in ids.tolist()]) == b"".join(whole)
+        return (ids, counts, np.ones(len(chunks), bool)) if exact else self._each([e.ids for e in self.a.encode_batch_fast(chunks, add_special_tokens=False)], self.bytes_a, whole)
+
+    def _each(self, encoded: list[list[int]], entries: list[bytes], whole: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The same from the ids of each chunk."""
         counts = np.fromiter(map(len, encoded), np.int64, len(encoded))
         ids = np.fromiter((i for own in encoded for i in own), np.int64, int(counts.sum()))
-        equal = np.array([b"".join([entries[i] for i in own]) == chunk for own, chunk in zip(encoded, chunks)], bool)
+        equal = np.array([b"".join([entries[i] for i in own]) == chunk for own, chunk in zip(encoded, whole)], bool)
         return ids, counts, equal
 
     def align_waiting(self) -> None:
@@ -197,9 +217,11 @@ class Aligner:
         if not chunks:
             return
         whole = [chunk.encode() for chunk in chunks]
-        encoded_a = [e.ids for e in self.a.encode_batch_fast(chunks, add_special_tokens=False)]
-        ids_a, n_a, equal_a = self._tokens(encoded_a, self.bytes_a, whole)
-        ids_b, n_b, equal_b = self._tokens(self.b.encode([c[1:] for c in chunks], num_threads=1), self.bytes_b, whole)  # the model adds the space
+        ids_a, n_a, equal_a = self._read_a(chunks, whole)
+        # The model adds the space; marks are read behind a letter, whose one token goes.
+        encoded_b = self.b.encode([c[1:] if c[0] == " " else "a" + c for c in chunks], num_threads=1)
+        encoded_b = [ids if c[0] == " " else ids[1:] for c, ids in zip(chunks, encoded_b)]
+        ids_b, n_b, equal_b = self._each(encoded_b, self.bytes_b, whole)
         equal = equal_a & equal_b
         if not equal.all():
             self.unequal.update((len(self.sizes) + np.flatnonzero(~equal)).tolist())

@@ -105,7 +105,7 @@ def test_the_whole_table(spark, tokenizers):
     assert got(spark.read.parquet("/root/testdata/sf0.001/documents.parquet")) == brute(rows, tokenizers)
 
 
-@given(st.text(alphabet=st.sampled_from(list("aeB'.,<|>0 5\n\té▁ 日🙂")), max_size=60))
+@given(st.text(alphabet=st.sampled_from(list("aeéB'.,<|>0 5\n\té▁ 日🙂")), max_size=60))
 @settings(max_examples=300, deadline=None)
 def test_chunks_give_the_tokens_of_the_whole_text(tokenizers, text):
     aligner = _kept()
