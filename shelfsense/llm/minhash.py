@@ -168,10 +168,10 @@ def _confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
 
 def _with_components(postings: DataFrame, components: DataFrame) -> DataFrame:
-    """(key, node, component); a node without links is its own component. Lists of one component go."""
+    """(key, node, component, size); a node without links is its own component. Lists of one component go."""
     rows = postings.join(components, "node", "left").select("key", "node", F.coalesce("component", "node").alias("component"))
-    mixed = rows.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low <> high")
-    return rows.join(mixed.select("key"), "key", "left_semi")
+    lists = rows.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("size"))
+    return rows.join(lists.filter("low <> high").select("key", "size"), "key").select("key", "node", "component", "size")
 
 
 def _likeliest_pairs(rows: DataFrame) -> DataFrame:
@@ -188,13 +188,19 @@ def _likeliest_pairs(rows: DataFrame) -> DataFrame:
     return best.select(F.least("node", other).alias("a"), F.greatest("node", other).alias("b")).distinct()
 
 
+def _short(rows: DataFrame) -> DataFrame:
+    """Lists that are no longer than a tile, each one cell: (key, cell, node, component)."""
+    return rows.filter(F.col("size") <= TILE).select("key", F.lit(0).cast("long").alias("cell"), "node", "component")
+
+
 def _cells(rows: DataFrame) -> DataFrame:
-    """Cut lists into tiles of bounded size: (key, cell, node, component), a cell for each two tiles.
+    """Cut lists into cells (key, cell, node, component); a longer list has one for each two of its tiles.
 
     A component with more than a tile's nodes has tiles of its own; a pair of such tiles of one
     component is left out. Smaller components share tiles. So a list of m nodes, most of them in one
     component, has about m / TILE cells, and no task sees more than two tiles of a list at once.
     """
+    short, rows = _short(rows), rows.filter(F.col("size") > TILE).drop("size")
     sizes = rows.groupBy("key", "component").agg(F.count("*").alias("size"))
     small = F.col("size") <= TILE
     lists = sizes.groupBy("key").agg(F.sum(F.when(small, F.col("size")).otherwise(0)).alias("rest"))
@@ -210,13 +216,13 @@ def _cells(rows: DataFrame) -> DataFrame:
     placed = placed.withColumn("tile", F.struct(F.coalesce("family", F.lit(-1)).alias("family"), "tile"))
     tiles = placed.groupBy("key", "tile").agg(F.count("*").alias("size"))
     split = tiles.groupBy("key").agg(F.count("*").alias("n_tiles"))
-    whole = placed.join(split.filter("n_tiles = 1").select("key"), "key", "left_semi").select("key", F.lit(0).cast("long").alias("cell"), "node", "component")
+    one = placed.join(split.filter("n_tiles = 1").select("key"), "key", "left_semi").select("key", F.lit(0).cast("long").alias("cell"), "node", "component")
     many = tiles.join(split.filter("n_tiles > 1").select("key"), "key", "left_semi").select("key", "tile")
     left, right = many.withColumnRenamed("tile", "one"), many.withColumnRenamed("tile", "two")
     met = left.join(right, "key").filter((F.col("one") <= F.col("two")) & ((F.col("one.family") != F.col("two.family")) | (F.col("one.family") == -1)))
     met = met.withColumn("cell", F.xxhash64("one", "two"))
     sides = met.select("key", "cell", F.explode(F.array_distinct(F.array("one", "two"))).alias("tile"))
-    return whole.unionByName(placed.join(sides, ["key", "tile"]).select("key", "cell", "node", "component"))
+    return short.unionByName(one).unionByName(placed.join(sides, ["key", "tile"]).select("key", "cell", "node", "component"))
 
 
 def _merged_pairs(cells: DataFrame, sets: DataFrame, best_only: bool) -> DataFrame:
@@ -325,10 +331,12 @@ def near_copies(docs: DataFrame) -> DataFrame:
     several = members.groupBy("doc_id").agg(F.min("node").alias("a"), F.max("node").alias("z")).filter("a <> z")
     links = stored(members.join(several, "doc_id").filter("node <> a").select("a", F.col("node").alias("b")))
     components = docs.sparkSession.createDataFrame([], "node long, component long")
-    for step in (_likeliest_pairs, lambda rows: _merged_pairs(_cells(rows), sets, True), lambda rows: _merged_pairs(_cells(rows), sets, False)):
+    # What is linked before the last step only spares that step work, so components need not be complete until then.
+    best, full = (lambda rows: _merged_pairs(_short(rows), sets, True)), (lambda rows: _merged_pairs(_cells(rows), sets, False))
+    for step, rounds in ((_likeliest_pairs, 2), (best, 2), (full, None)):
         pairs = stored(step(stored(_with_components(postings, components))))
         links = links.unionAll(stored(_confirmed(pairs, sets)))
-        components = connected_components(links)
+        components = connected_components(links, rounds)
     placed = members.join(components, "node", "left").select("doc_id", F.coalesce("component", "node").alias("component"))
     smallest = placed.groupBy("component").agg(F.min("doc_id").alias("component_id"))
     found = placed.join(smallest, "component").select("doc_id", "component_id").distinct()
