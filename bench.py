@@ -2,8 +2,7 @@
 
 BENCH_SF_DIR names the table folder, BENCH_CPUS the local cores, BENCH_QUERIES a comma-separated
 choice of queries. Besides the registered ones there are `build_index`, which stores the whole product
-index, and `search_stored` and `batch_stored`, which search it; they are off by default because the
-whole index takes minutes on a few cores. Times are seconds of one run each.
+index, and `search_stored` and `batch_stored`, which search it. Times are seconds of one run each.
 """
 
 from __future__ import annotations
@@ -17,15 +16,19 @@ from pathlib import Path
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
 from shelfsense.operators import index, search  # noqa: E402
-from shelfsense.plans.queries import QUERIES, _benchmark_queries, _queries  # noqa: E402
+from shelfsense.plans import latent, serving  # noqa: E402
+from shelfsense.plans import queries as plain  # noqa: E402
+from shelfsense.plans.queries import _benchmark_queries, _queries  # noqa: E402
 from shelfsense.session import build_session, checkpoint_dir  # noqa: E402
 from shelfsense.sources.tables import reviews_by_text, texts  # noqa: E402
 
+QUERIES = plain.QUERIES | serving.QUERIES | latent.QUERIES
 HEADLINE = (
     "reviews_profile", "tokenize", "top_bigrams", "tfidf_features", "preprocess_compare", "category_counts",
     "bm25_search", "review_level_bm25", "graph_stats", "pagerank",
     "fused_search", "pseudo_relevance", "content_recs", "user_item_mean", "page_dedup", "crawl_pages",
     "hits", "bm25_batch", "svd_recs", "known_lemmas",
+    "build_index", "search_stored", "batch_stored", "cosine_search", "fielded_search", "als_checks", "page_near_duplicates",
 )
 
 

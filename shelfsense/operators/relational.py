@@ -8,6 +8,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from shelfsense.session import cut_lineage, shuffle_partitions
+
+# So many rows of every task may be merged in one place.
+MERGED_ROWS = 10_000
 # A table with at most this many rows of a few plain columns is small enough to broadcast.
 BROADCAST_ROWS = 100_000
 
@@ -42,9 +46,24 @@ def top_k_per_group(
     return df.withColumn(rank, F.row_number().over(window)).filter(F.col(rank) <= k)
 
 
-def first_rows(df: DataFrame, n: int, order: Sequence[Column]) -> DataFrame:
-    """The first `n` rows in an explicit order."""
-    return df.orderBy(*order).limit(n)
+def first_rows(df: DataFrame, n: int, order: Sequence[Column], merged_rows: int = MERGED_ROWS) -> DataFrame:
+    """The first `n` rows in an explicit order, which must name every row apart.
+
+    Up to `merged_rows` rows, every task keeps its first n and one task merges these. More rows are
+    selected by ranges: rows are dealt by sampled splitters of the order, whole ranges are kept as long
+    as their sizes add up to n, and only the range where the n-th row lies is numbered and cut.
+    """
+    if n <= merged_rows:
+        return df.orderBy(*order).limit(n)
+    ranges = shuffle_partitions(df.sparkSession)
+    dealt = cut_lineage(df.repartitionByRange(ranges, *order).withColumn("_range", F.spark_partition_id()))
+    sizes = dealt.groupBy("_range").agg(F.count("*").alias("_size"))  # a row for each range
+    before = F.sum("_size").over(Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1))
+    left = sizes.withColumn("_left", F.lit(n) - F.coalesce(before, F.lit(0))).filter("_left > 0")
+    kept = dealt.join(left, "_range")
+    whole = kept.filter("_size <= _left")
+    cut = kept.filter("_size > _left").withColumn("_row", F.row_number().over(Window.partitionBy("_range").orderBy(*order)))
+    return whole.select(*df.columns).unionByName(cut.filter("_row <= _left").select(*df.columns))
 
 
 def without_keys(df: DataFrame, seen: DataFrame, keys: Sequence[str]) -> DataFrame:

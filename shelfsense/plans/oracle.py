@@ -378,6 +378,10 @@ merged AS (
   (SELECT 'documents' AS source, doc_id AS id, md5(text) AS text_hash FROM documents ORDER BY doc_id LIMIT 100)
   UNION ALL
   (SELECT 'benchmark', item_id, md5(text) FROM benchmark ORDER BY item_id LIMIT 100))""",
+        "last_half_per_source": """SELECT * FROM (
+  SELECT 'documents' AS source, doc_id AS id, md5(text) AS text_hash FROM documents
+  UNION ALL SELECT 'benchmark', item_id, md5(text) FROM benchmark)
+QUALIFY row_number() OVER (PARTITION BY source ORDER BY id DESC) <= (SELECT count(*) // 2 FROM documents)""",
         "drop_nulls": f"SELECT doc_id, lang, quality, toxic {labelled} WHERE quality IS NOT NULL AND toxic IS NOT NULL AND lang IS NOT NULL",
         "fill_nulls": f"""SELECT lang, CAST(sum(coalesce(quality, 0)) AS BIGINT) AS quality,
   CAST(sum(coalesce(toxic, 0)) AS BIGINT) AS toxic, count(*) AS documents {labelled} GROUP BY lang""",

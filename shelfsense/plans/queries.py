@@ -59,13 +59,22 @@ def csv_round_trip(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def first_rows_per_source(spark: SparkSession, folder: str) -> DataFrame:
+def _sources(spark: SparkSession, folder: str) -> list[DataFrame]:
     def layout(name: str, id_col: str) -> DataFrame:
         rows = table(spark, folder, name)
         return rows.select(F.lit(name).alias("source"), F.col(id_col).alias("id"), F.md5("text").alias("text_hash"))
 
-    sources = [layout("documents", "doc_id"), layout("benchmark", "item_id")]
-    return files.prepare_corpus(sources, 100, [F.col("id").asc()])
+    return [layout("documents", "doc_id"), layout("benchmark", "item_id")]
+
+
+def first_rows_per_source(spark: SparkSession, folder: str) -> DataFrame:
+    return files.prepare_corpus(_sources(spark, folder), 100, [F.col("id").asc()])
+
+
+def last_half_per_source(spark: SparkSession, folder: str) -> DataFrame:
+    """The half of each source with the larger ids, selected by ranges of the order."""
+    n = table(spark, folder, "documents").count() // 2
+    return files.prepare_corpus(_sources(spark, folder), n, [F.col("id").desc()], merged_rows=0)
 
 
 def _labelled(spark: SparkSession, folder: str) -> DataFrame:
@@ -475,7 +484,7 @@ def page_append(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query
     for query in (
-        reviews_profile, csv_round_trip, first_rows_per_source, drop_nulls, fill_nulls, unlabelled_documents,
+        reviews_profile, csv_round_trip, first_rows_per_source, last_half_per_source, drop_nulls, fill_nulls, unlabelled_documents,
         category_counts, first_per_key, product_documents,
         tokenize, preprocess, known_lemmas, preprocess_known, doc_profile, profile_means, top_bigrams, top_trigrams_raw, tfidf_features,
         term_weights, preprocess_compare, feature_compare, classify_languages,

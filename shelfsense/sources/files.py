@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shelfsense.operators.relational import concat_sources, drop_incomplete, first_rows
+from shelfsense.operators.relational import MERGED_ROWS, concat_sources, drop_incomplete, first_rows
 
 REVIEW_SCHEMA = T.StructType(
     [
@@ -36,10 +36,12 @@ def read_vendor_tsv(spark: SparkSession, path: str, schema: T.StructType, column
     return reader.option("quote", "").option("columnPruning", "false").schema(schema).csv(path).select(*columns)
 
 
-def prepare_corpus(sources: Sequence[DataFrame], rows_per_source: int | None, order: Sequence[Column]) -> DataFrame:
+def prepare_corpus(
+    sources: Sequence[DataFrame], rows_per_source: int | None, order: Sequence[Column], merged_rows: int = MERGED_ROWS
+) -> DataFrame:
     """Several sources as one complete corpus, optionally the first rows of each."""
     if rows_per_source is not None:
-        sources = [first_rows(source, rows_per_source, order) for source in sources]
+        sources = [first_rows(source, rows_per_source, order, merged_rows) for source in sources]
     return drop_incomplete(concat_sources(*sources))
 
 
