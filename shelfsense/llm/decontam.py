@@ -7,7 +7,7 @@ any choice of an item's positions: of c chosen ones at least c - q·e are shared
 is frequent among the items, such as rules of dashes, are left out, and the bound is lowered with them.
 
 Both sides are compared as UTF-8 bytes, with A-Z as a-z and any run of white space as one space.
-Items under `SHORT_BYTES` bytes leave no room for edits: they are found exactly, between word borders.
+Items under `SHORT_BYTES` bytes, or under 2q when folded, are found exactly, between word borders.
 """
 
 from __future__ import annotations
@@ -89,8 +89,10 @@ class Items:
             flat, _ = fold(np.frombuffer(text, np.uint8), np.zeros(1, np.int64))
             self.folded.append(np.frombuffer(flat.tobytes().strip(b" "), np.uint8))
         self.lengths = np.array([len(item) for item in self.folded], np.int64)
-        self.long = np.flatnonzero(self.lengths >= SHORT_BYTES)
-        self.edits = np.array([budget(int(m), share) if m >= SHORT_BYTES else 0 for m in self.lengths], np.int64)
+        sizes = np.array([len(text) for text in texts], np.int64)
+        is_long = (sizes >= SHORT_BYTES) & (self.lengths >= 2 * Q)
+        self.long, self.short_items = np.flatnonzero(is_long), np.flatnonzero(~is_long & (self.lengths > 0))
+        self.edits = np.where(is_long, [budget(int(m), share) for m in self.lengths], 0).astype(np.int64)
         self.width = int(self.edits.max(initial=0)) + 1  # a band has twice this many diagonals
         self._index_long()
         self._index_short()
@@ -124,8 +126,8 @@ class Items:
     def _index_short(self) -> None:
         """For each length its items, sorted by their first bytes as an integer."""
         self.short: list[tuple[int, np.ndarray, np.ndarray]] = []
-        for length in np.unique(self.lengths[(self.lengths > 0) & (self.lengths < SHORT_BYTES)]):
-            items = np.flatnonzero(self.lengths == length)
+        for length in np.unique(self.lengths[self.short_items]):
+            items = self.short_items[self.lengths[self.short_items] == length]
             heads = np.array([int.from_bytes(self.folded[i][:Q].tobytes(), "little") for i in items], np.uint64)
             order = np.argsort(heads, kind="stable")
             self.short.append((int(length), items[order], heads[order]))
