@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import sys
 import types
 import uuid
@@ -25,9 +27,19 @@ def worker_state(owner: str) -> dict:
     if state.get("_owner") != owner:
         state.clear()
         state["_owner"] = owner
+        release_memory()
     return state
 
 
+def release_memory() -> None:
+    """Give memory that is free by now back to the system; a worker would keep its peak otherwise."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None) if sys.platform == "linux" else None
+    if trim:
+        trim(0)
+
+
 def stored(df: DataFrame) -> DataFrame:
     """Write `df` as a compressed table to the shared folder and go on from there.
 

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import MapType
 
 from shelfsense.llm import alignment, chat, decontam, divergence, huffman, linededup, minhash, neighbours, packing, pagetext
 from shelfsense.llm import quality, repeats, setjoin
@@ -124,11 +125,12 @@ def near_copy_stage(spark: SparkSession, docs: DataFrame, folder: str) -> DataFr
     id are no copies and stay.
     """
     found = setjoin.jaccard_components(docs).filter("component_id <> doc_id").select("doc_id").distinct()
-    rest = docs.join(found, "doc_id", "left_anti").select(*docs.columns)
-    alone = F.when(F.col("doc_id").isNull(), F.xxhash64("text"))
-    first = Window.partitionBy("doc_id", alone).orderBy(digest("text"))
-    numbered = rest.withColumn("_row", F.row_number().over(first))
-    return numbered.filter(F.col("doc_id").isNull() | (F.col("_row") == 1)).select(*docs.columns)
+    rest = docs.filter("doc_id is not null").join(found, "doc_id", "left_anti").select(*docs.columns)
+    # Combined before the shuffle, so an id of very many rows is no large group.
+    hashable = [field.name for field in docs.schema if not isinstance(field.dataType, MapType)]
+    order = F.struct(digest("text"), F.xxhash64(*hashable))
+    one = rest.groupBy(F.col("doc_id").alias("_id")).agg(F.min_by(F.struct(*docs.columns), order).alias("_row"))
+    return one.select("_row.*").unionByName(docs.filter("doc_id is null"))
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
