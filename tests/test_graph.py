@@ -88,3 +88,22 @@ def test_too_few_rounds_are_reported(spark):
         graph.pagerank(built, max_iter=1, tol=1e-12)
     with pytest.raises(graph.NotConverged):
         graph.hits(built, max_iter=1, tol=1e-12)
+
+
+def test_a_large_customer_is_stored_without_its_pairs(spark):
+    products = [("hot", f"p{p:04d}") for p in range(400)]
+    others = [(f"c{p}", f"p{q:04d}") for p in range(0, 400, 40) for q in (p, p + 1)] + [("alone", "p0005"), ("new", "p0007"), ("new", "q")]
+    built = graph.co_review_graph(reviews(spark, products + others), tile_products=50)
+    layout = graph._laid_out(built)
+    assert layout.repeats.count() < 1000 and layout.class_links.count() == 1
+    assert tuple(graph.graph_stats(built).first()) == (401, 400 * 399 + 2)
+
+
+@pytest.mark.parametrize("tile_products", [2, 1000])
+def test_hubs_dealt_over_rows_change_no_edge(spark, monkeypatch, tile_products):
+    monkeypatch.setattr(graph, "GATHERED_IDS", 5)
+    pairs = random_pairs(seed=8)
+    built = graph.co_review_graph(reviews(spark, pairs), tile_products)
+    edges = [tuple(r) for r in graph.co_review_edges(built).collect()]
+    assert len(edges) == len(set(edges)) and set(edges) == brute_edges(pairs)
+    assert tuple(graph.graph_stats(built).first()) == (len({a for a, _ in edges}), len(edges))
