@@ -84,15 +84,16 @@ def _gathered(sent: DataFrame) -> DataFrame:
     """(src, ids) with all ids sent to a product; those of a hub are dealt over several rows."""
     reach = sent.groupBy("src").agg(F.sum(F.size("ids")).alias("n")).filter(F.col("n") > GATHERED_IDS)
     hubs = cut_lineage(reach.select("src", F.ceil(F.col("n") / GATHERED_IDS).cast("int").alias("parts")))
-    plain = sent.withColumn("part", F.lit(0))
+    keys = ["src"]
     if not hubs.isEmpty():
+        keys.append("part")
         part = F.explode(F.sequence(F.lit(0), F.coalesce("parts", F.lit(1)) - 1)).alias("part")
         dealt = sent.join(hubs, "src", "left").select("src", "ids", "parts", part)
         own = F.filter("ids", lambda i: F.pmod(F.xxhash64(i), F.col("parts")) == F.col("part"))
-        plain = dealt.select("src", F.when(F.col("parts").isNull(), F.col("ids")).otherwise(own).alias("ids"), "part")
+        sent = dealt.select("src", F.when(F.col("parts").isNull(), F.col("ids")).otherwise(own).alias("ids"), "part")
     # Dealt before it is grouped, so no task sorts lists that it only passes on.
-    dealt = plain.filter(F.size("ids") > 0).repartition("src", "part")
-    return dealt.groupBy("src", "part").agg(F.flatten(F.collect_list("ids")).alias("ids")).drop("part")
+    grouped = sent.filter(F.size("ids") > 0).repartition(*keys).groupBy(*keys)
+    return grouped.agg(F.flatten(F.collect_list("ids")).alias("ids")).select("src", "ids")
 
 
 def _sent(lists: DataFrame) -> DataFrame:
