@@ -7,10 +7,13 @@ from pyspark.sql import functions as F
 
 from shelfsense.functions.scores import TIE_DIGITS, bm25_idf, bm25_weight, ratio
 from shelfsense.functions.text import lines, relevance_tokens, tokens
-from shelfsense.operators.index import TextIndex
+from shelfsense.operators import packed
+from shelfsense.operators.index import TextIndex, corpus_stats
 from shelfsense.operators.relational import top_k_per_group
+from shelfsense.session import cut_lineage
 
 TRIGRAM = 3
+FEW_TERMS = 64  # of these, shared texts are spread as rows
 
 
 def queries_from_lines(spark: SparkSession, text: str) -> DataFrame:
@@ -59,11 +62,36 @@ def bm25_scores(index: TextIndex, queries: DataFrame, k1: float = 1.5, b: float
     )
 
 
+def _packed_scores(
+    index: TextIndex, terms: DataFrame, k1: float, b: float, top_k: int
+) -> DataFrame:
+    """`bm25_scores` of packed documents for many terms (query_id, term, query_tf), the best of each task."""
+    doc = index.id_col
+    numbers, docs = index.shared.packed(terms.select("term").distinct())
+    lengths = cut_lineage(index.doc_stats)
+    corpus = corpus_stats(lengths).first()
+    docs = cut_lineage(docs.join(lengths, doc, "left"))
+    idf = bm25_idf(F.lit(corpus["n_docs"]), F.col("doc_freq"))
+    weights = terms.join(numbers, "term").join(packed.term_counts(docs), "number")
+    weights = cut_lineage(weights.select("query_id", "number", (F.col("query_tf") * idf).alias("weight")))
+    mean = corpus["avg_doc_len"]
+
+    def weigh(_, tf, doc_len):
+        return tf * (k1 + 1.0) / (tf + k1 * (1.0 - b + b * doc_len / mean))
+
+    found = packed.products(docs.filter(F.col("doc_len").isNotNull()), doc, weights, weigh, "doc_len", top_k)
+    return found.withColumnRenamed("score", "bm25")
+
+
 def bm25_search(
     index: TextIndex, queries: DataFrame, k1: float = 1.5, b: float = 0.75, top_k: int = 20
 ) -> DataFrame:
     """The `top_k` documents of every query: query_id, document id, bm25, rank."""
     order = [F.round("bm25", TIE_DIGITS).desc(), F.col(index.id_col).asc()]
+    if index.shared is not None:
+        terms = cut_lineage(query_terms(queries))
+        if terms.select("term").distinct().count() > FEW_TERMS:
+            return top_k_per_group(_packed_scores(index, terms, k1, b, top_k), ["query_id"], order, top_k)
     return top_k_per_group(bm25_scores(index, queries, k1, b), ["query_id"], order, top_k)
 
 
