@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from shelfsense.operators import index, packed, search
+from shelfsense.operators import index, packed, recommend, search
 
 REVIEW = "product_id long, customer_id long, product_title string, text_id long, ord1 int, ord2 int"
 
@@ -62,3 +62,35 @@ def test_a_batch_search_of_shared_texts_needs_no_posting_rows(spark, shared, blo
     broken = shared.postings.withColumn("tf", F.raise_error(F.lit("a row for each term and product")).cast("long"))
     batch = search.bm25_search(replace(shared, postings=broken), queries, top_k=3).withColumn("bm25", F.round("bm25", 9))
     assert rows(batch) == rows(plain)
+
+
+def product_reviews(spark):
+    titles = {1: "Lens cap", 2: "lens", 3: None, 4: "Blue bag", 5: "bag strap", 6: "lens cap"}
+    rows = [(p, 1, titles[p], (p * 2 + i) % 5, i, 1) for p in titles for i in range(p % 3 + 1)] + [(7, 1, "lens", 99, 0, 1)]
+    texts = [(0, "good lens cap"), (1, "strap and bag"), (2, None), (3, "blue blue lens"), (4, "cap"), (0, "good lens cap"), (None, "lens")]
+    return spark.createDataFrame(rows, REVIEW), spark.createDataFrame(texts, "text_id long, text string")
+
+
+def vectors_as_rows(packed_vectors):
+    long = packed_vectors.rows().join(packed_vectors.terms, "number").select("product_id", "term", F.round("weight", 9).alias("weight"))
+    return rows(long)
+
+
+def test_packed_vectors_are_those_of_whole_texts(spark):
+    reviews, texts = product_reviews(spark)
+    bodies = reviews.join(texts.withColumnRenamed("text", "review_body"), "text_id")
+    first = recommend.first_reviews(reviews)
+    whole = recommend.first_review_vectors(first.join(texts.withColumnRenamed("text", "review_body"), "text_id"), 4)
+    assert vectors_as_rows(recommend.first_shared_text_vectors(first, texts, 4)) == rows(whole.select("product_id", "term", F.round("weight", 9).alias("weight")))
+    known = reviews.join(texts.select("text_id").distinct(), "text_id", "left_semi")
+    whole = recommend.all_review_vectors(bodies, 3)
+    assert vectors_as_rows(recommend.all_shared_text_vectors(known, texts, 3)) == rows(whole.select("product_id", "term", F.round("weight", 9).alias("weight")))
+
+
+def test_packed_vectors_give_the_same_recommendations(spark):
+    reviews, texts = product_reviews(spark)
+    first = recommend.first_reviews(reviews)
+    titles, targets = index.first_titles(reviews), spark.createDataFrame([(1,), (4,), (7,), (50,)], "product_id long")
+    whole = recommend.first_review_vectors(first.join(texts.withColumnRenamed("text", "review_body"), "text_id"))
+    lists = [rows(recommend.content_recommendations(v, titles, targets, 3)) for v in (whole, recommend.first_shared_text_vectors(first, texts))]
+    assert lists[0] == lists[1]
