@@ -72,7 +72,9 @@ def _packed_scores(
     corpus = corpus_stats(lengths).first()
     docs = cut_lineage(docs.join(lengths, doc, "left"))
     idf = bm25_idf(F.lit(corpus["n_docs"]), F.col("doc_freq"))
-    weights = terms.join(numbers, "term").join(packed.term_counts(docs), "number")
+    weights = terms.join(numbers, "term")
+    if "doc_freq" not in numbers.columns:
+        weights = weights.join(packed.term_counts(docs), "number")
     weights = cut_lineage(weights.select("query_id", "number", (F.col("query_tf") * idf).alias("weight")))
     mean = corpus["avg_doc_len"]
 

@@ -17,7 +17,7 @@ import math
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfsense.operators.index import TextIndex
+from shelfsense.operators.index import TextIndex, whole_postings
 from shelfsense.sources.store import Store, Version
 
 KIND = "index"
@@ -46,7 +46,7 @@ class SegmentedIndex:
         base = self.store.latest()
         number = base.facts.get(KIND, {}).get("next", 0)
         fresh = TextIndex(
-            added.postings.withColumn(self.id_col, F.col(added.id_col).cast("string")).select("term", self.id_col, F.col("tf").cast("long").alias("tf")),
+            whole_postings(added).withColumn(self.id_col, F.col(added.id_col).cast("string")).select("term", self.id_col, F.col("tf").cast("long").alias("tf")),
             added.doc_stats.select(F.col(added.id_col).cast("string").alias(self.id_col), F.col("doc_len").cast("long").alias("doc_len")),
             added.corpus_stats, self.id_col,
         )

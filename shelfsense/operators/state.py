@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfsense.operators.index import TextIndex, corpus_stats
+from shelfsense.operators import packed
+from shelfsense.operators.index import StoredWords, TextIndex, corpus_stats, whole_postings
 from shelfsense.sources.store import Store, Version
 
 BUCKETS = 64
@@ -27,8 +30,17 @@ def publish(store: Store, index: TextIndex | None = None, buckets: int = BUCKETS
     if index is not None:
         keys = ("bucket", "term", index.id_col)
         bucket = F.pmod(F.xxhash64("term"), F.lit(buckets)).cast("int").alias("bucket")
+        written |= {"numbers": [], "words": []}
+        if index.shared is not None:
+            # Searches for many terms read whole documents, others the postings of their terms.
+            numbers, docs = index.shared.packed()
+            written["words"] = [store.write(docs, "words")]
+            docs = store.scan(written["words"])
+            counted = packed.term_counts(docs).join(numbers.select("term", "number"), "number").select("term", "number", "doc_freq")
+            written["numbers"] = [store.write(counted, "numbers")]
+            index = replace(index, shared=StoredWords(store.scan(written["numbers"]), docs))
         # The id is a key as well, so the list of a very frequent term is spread over files.
-        postings = index.postings.select("term", index.id_col, "tf", bucket).repartitionByRange(*keys).sortWithinPartitions(*keys)
+        postings = whole_postings(index).select("term", index.id_col, "tf", bucket).repartitionByRange(*keys).sortWithinPartitions(*keys)
         written["postings"] = [store.write(postings, "postings", ["bucket"])]
         written["doc_stats"] = [store.write(index.doc_stats, "doc_stats")]
         stats = corpus_stats(store.scan(written["doc_stats"])).first()
@@ -51,4 +63,6 @@ class Snapshot:
         postings, doc_stats = self.table("postings"), self.table("doc_stats")
         facts = self.version.facts["corpus"]
         stats = self.store.spark.createDataFrame([tuple(facts.values())], "n_docs long, avg_doc_len double, buckets int, id_col string")
-        return TextIndex(postings, doc_stats, stats, facts["id_col"])
+        whole = "words" in self.version.tables
+        shared = StoredWords(self.table("numbers"), self.table("words")) if whole else None
+        return TextIndex(postings, doc_stats, stats, facts["id_col"], shared)

@@ -4,7 +4,8 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from shelfsense.operators import index, packed, recommend, search
+from shelfsense.operators import index, packed, recommend, search, state
+from shelfsense.sources.store import Store
 
 REVIEW = "product_id long, customer_id long, product_title string, text_id long, ord1 int, ord2 int"
 
@@ -94,3 +95,16 @@ def test_packed_vectors_give_the_same_recommendations(spark):
     whole = recommend.first_review_vectors(first.join(texts.withColumnRenamed("text", "review_body"), "text_id"))
     lists = [rows(recommend.content_recommendations(v, titles, targets, 3)) for v in (whole, recommend.first_shared_text_vectors(first, texts))]
     assert lists[0] == lists[1]
+
+
+def test_a_published_index_serves_many_terms_from_whole_documents(spark, shared, tmp_path, monkeypatch):
+    store = Store(spark, str(tmp_path / "state"))
+    state.publish(store, shared, buckets=2)
+    served = state.Snapshot(store).index()
+    assert rows(served.postings.select("term", "product_id", "tf")) == rows(shared.postings)
+    queries = spark.createDataFrame([(1, "a b title"), (2, "e")], "query_id long, query string")
+    plain = search.bm25_search(replace(served, shared=None), queries, top_k=3).withColumn("bm25", F.round("bm25", 9))
+    monkeypatch.setattr(search, "FEW_TERMS", 0, raising=False)
+    broken = served.postings.withColumn("tf", F.raise_error(F.lit("postings are read")).cast("long"))
+    batch = search.bm25_search(replace(served, postings=broken), queries, top_k=3).withColumn("bm25", F.round("bm25", 9))
+    assert rows(batch) == rows(plain)
