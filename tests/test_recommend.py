@@ -134,3 +134,30 @@ def test_too_few_steps_are_reported(spark):
 def test_chart_order(spark):
     counts = relational.value_counts(spark.createDataFrame([("x",), ("x",), ("y",)], "c string"), "c")
     assert [r["c"] for r in relational.chart_order(counts).collect()] == ["y", "x"]
+
+
+@pytest.mark.parametrize("demean", [True, False])
+def test_steps_leave_no_old_tables_and_broadcast_no_customers(spark, monkeypatch, demean):
+    from pathlib import Path
+    from shelfsense.session import checkpoint_dir
+
+    monkeypatch.setattr(factors, "BLOCK_USERS", 4)  # several blocks
+    monkeypatch.setattr(factors, "PRODUCTS_AT_ONCE", 3)
+    folder = Path(checkpoint_dir(spark))
+    before = set(folder.iterdir())
+    rng = np.random.default_rng(4)
+    rows = [(f"u{u}", f"i{i:03d}", float(rng.integers(1, 6))) for u in range(90) for i in range(80) if rng.random() < 0.3]
+    table = ratings(spark, rows)
+    fitted = factors.item_factors(table, 3, demean, max_basis=70)
+    steps = [d for d in set(folder.iterdir()) - before if not list(d.glob("*.parquet"))]
+    assert sum(bool(list(d.glob("[0-9]*"))) for d in steps) == 1
+    assert all(len(list(d.glob("[0-9]*"))) == 1 for d in steps)  # rounds before the last one are gone
+    users, items, matrix = dense(rows)
+    matrix = matrix - matrix.mean(axis=1, keepdims=True) * demean
+    values = np.linalg.svd(matrix)[1]
+    found = np.array([r.factor for r in fitted.items.orderBy("product_id").collect()])
+    assert found.shape == (len(items), 3) and np.linalg.norm(matrix @ found, axis=0) == pytest.approx(values[:3], rel=1e-8)
+    means = factors.user_means(table)
+    plan = spark._jvm.PythonSQLUtils.explainString(factors._RatingMatrix(table, means, demean).times(
+        fitted.items.withColumnRenamed("factor", "v"), 3)._jdf.queryExecution(), "simple")
+    assert "BroadcastExchange" not in plan
