@@ -24,6 +24,7 @@ from shelfsense.llm.tokens import worker_encoder
 MAX_BITS = 20
 CHECKPOINT = 256
 BLOCK_TOKENS = 1 << 18
+COUNTED_AT_ONCE = 500
 
 
 def code_lengths(counts: np.ndarray, max_bits: int = MAX_BITS) -> np.ndarray:
@@ -75,8 +76,8 @@ class Coder:
         self.symbols, self.lengths = symbols, lengths.astype(np.int64)
         self.codes = canonical_codes(self.lengths)
         self.bits = int(lengths.max(initial=1))
-        self.index = np.zeros(int(symbols.max(initial=0)) + 1, np.int64)
-        self.index[symbols] = np.arange(len(symbols))
+        self.code_of, self.length_of = np.zeros((2, int(symbols.max(initial=0)) + 1), np.int64)
+        self.code_of[symbols], self.length_of[symbols] = self.codes, self.lengths
         order = np.lexsort((np.arange(len(lengths)), self.lengths))
         self.table = np.zeros(1 << self.bits, np.int64)  # symbol and length for every run of `bits` bits
         filled = np.repeat(self.symbols[order] << 5 | self.lengths[order], np.left_shift(1, self.bits - self.lengths[order]))
@@ -84,12 +85,11 @@ class Coder:
 
     def encode(self, ids: np.ndarray) -> tuple[bytes, np.ndarray]:
         """Payload and the bit offset of every `CHECKPOINT`-th id."""
-        places = self.index[ids]
-        lengths = self.lengths[places]
+        lengths = self.length_of[ids]
         ends = np.cumsum(lengths)
         begins = ends - lengths
         word, free = begins >> 5, 64 - (begins & 31) - lengths
-        shifted = self.codes[places] << free  # at most 52 bits from the top: fits in two 32-bit words
+        shifted = self.code_of[ids] << free  # at most 52 bits from the top: fits in two 32-bit words
         total = int(ends[-1]) if len(ends) else 0
         words = np.zeros((total >> 5) + 3, np.uint32)
         first = np.flatnonzero(np.r_[True, word[1:] != word[:-1]]) if len(word) else np.zeros(0, np.int64)
@@ -139,14 +139,18 @@ def write_tokens(docs: DataFrame, path: str, tokenizer_path: str, end_id: int, p
                 keys = part.column("doc_id").fill_null(np.iinfo(np.int64).min).to_numpy(zero_copy_only=False)
                 ids = [encode(text) + end if text else end for text in part.column("text").to_pylist()]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.searchsorted(bounds, keys), pa.int32()), part.column("doc_id"), pa.array(map(narrow, ids), pa.binary())],
+                    [pa.array(np.searchsorted(bounds, keys), pa.int32()), part.column("doc_id"), pa.array(narrow(ids), pa.binary())],
                     ["part", "doc_id", "ids"],
                 )
 
-    def narrow(ids: bytes) -> bytes:
+    def narrow(rows: list[bytes]) -> list[bytes]:
         """Two bytes for each id where all fit; a leading byte tells the width."""
-        values = np.frombuffer(ids, "<u4")
-        return b"\2" + values.astype("<u2").tobytes() if values.max() < 1 << 16 else b"\4" + ids
+        values = np.frombuffer(b"".join(rows), "<u4")
+        if values.max(initial=0) >= 1 << 16:
+            return [b"\4" + ids if np.frombuffer(ids, "<u4").max() >= 1 << 16 else b"\2" + np.frombuffer(ids, "<u4").astype("<u2").tobytes() for ids in rows]
+        small = values.astype("<u2").tobytes()
+        ends = np.cumsum([len(ids) // 2 for ids in rows]).tolist()
+        return [b"\2" + small[begin:end] for begin, end in zip([0, *ends], ends)]
 
     rows = docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(tokenise, "part int, doc_id long, ids binary")
     # A part is whole in one task only here. Files are read back in splits, so each row keeps its place.
@@ -156,8 +160,10 @@ def write_tokens(docs: DataFrame, path: str, tokenizer_path: str, end_id: int, p
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         totals = np.zeros(0, np.int64)
         for batch in batches:
-            for ids in batch.column("ids").to_pylist():
-                some = np.bincount(widen(ids))
+            # A histogram is as long as the vocabulary, so it is made for many documents at once.
+            for start in range(0, batch.num_rows, COUNTED_AT_ONCE):
+                part = batch.column("ids").slice(start, COUNTED_AT_ONCE).to_pylist()
+                some = np.bincount(np.concatenate([widen(ids) for ids in part]))
                 if len(some) > len(totals):
                     some, totals = totals, some
                 totals[: len(some)] += some

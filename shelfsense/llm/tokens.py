@@ -31,6 +31,8 @@ WORD_START = re.compile(r" (?=\S)")
 # Letters and the ASCII marks behind them are merged apart from each other; not so after an apostrophe,
 # and not after U+0130, whose lower case ends with a combining mark.
 MARKED = re.compile(r"([^\W\d_]+)([!-&(-/:-@\[-^`{-~]+)")
+# A line's end between such words is a unit of its own, and the word behind it has no space before it.
+LINE_PART = re.compile(r"([^\W\d_]+)([!-&(-/:-@\[-^`{-~]*)")
 
 # Byte-level files show the bytes that are printable in Latin-1 as themselves, the others from U+0100 on.
 _PRINTABLE = {*range(33, 127), *range(161, 173), *range(174, 256)}
@@ -57,22 +59,25 @@ def cutting_rule(path: str) -> str:
 class _Words(dict):
     """Ids of words as bytes, asked from the tokenizer on first use; emptied when full."""
 
-    def __init__(self, encode: Callable[[str], bytes], encode_letters: Callable[[str], bytes], lead: str, limit: int):
+    def __init__(self, encode: Callable[[str], bytes], encode_letters: Callable[..., bytes], lead: str, limit: int):
         super().__init__()
         self.encode, self.encode_letters, self.lead, self.limit = encode, encode_letters, lead, limit
         self.marks: dict[str, bytes] = {}
+        self.starts: dict[str, bytes] = {}
 
     def __missing__(self, word: str) -> bytes:
         if self.lead and (not word or word[0].isspace()):
             raise ValueError  # the space before this word belongs to a run of spaces
-        marked = MARKED.fullmatch(word)
-        if marked and "\u0130" not in word:
-            letters, marks = marked.groups()
-            if marks not in self.marks:
-                self.marks[marks] = self.encode(marks)
-            ids = self[letters] + self.marks[marks]
-        elif word.isalpha() and max(word) < "\u0250" and "\u0130" not in word:
+        if self.lead and "\n" in word and "\u0130" not in word:
+            first, *rest = word.split("\n")
+            parts = [LINE_PART.fullmatch(part) for part in rest]
+            if LINE_PART.fullmatch(first) and all(parts):
+                return self[first] + b"".join([self._after_line(part) for part in parts])  # the whole is rarely met again
+        if word.isalpha() and (word.isascii() or max(word) < "\u0250" and "\u0130" not in word):
             ids = self.encode_letters(word) if self.lead or word.islower() else self[word.lower()]
+        elif (marked := MARKED.fullmatch(word)) and "\u0130" not in word:
+            letters, marks = marked.groups()
+            ids = self[letters] + self._marks(marks)
         else:
             ids = self.encode(self.lead + word)
         if len(word) <= LONGEST_CACHED:
@@ -81,6 +86,27 @@ class _Words(dict):
             self[word] = ids
         return ids
 
+    def _marks(self, marks: str) -> bytes:
+        if marks not in self.marks:
+            self.marks[marks] = self.encode(marks)
+        return self.marks[marks]
+
+    def _after_line(self, part: re.Match) -> bytes:
+        """Ids of a line's end and of the word behind it."""
+        word = part[0]
+        ids = self.starts.get(word)
+        if ids is None:
+            letters, marks = part.groups()
+            plain = letters.isalpha() and max(letters) < "\u0250"
+            ids = self._marks("\n") + (self.encode_letters(letters, "") if plain else self.encode(letters))
+            if marks:
+                ids += self._marks(marks)
+            if len(word) <= LONGEST_CACHED:
+                if len(self.starts) >= self.limit // 7:
+                    self.starts.clear()
+                self.starts[word] = ids
+        return ids
+
 
 def encoder(path: str) -> Callable[[str], bytes]:
     """A function from a text to its ids as little-endian unsigned 32-bit integers."""
@@ -91,12 +117,12 @@ def encoder(path: str) -> Callable[[str], bytes]:
     def encode(text: str) -> bytes:
         return array("I", tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
-    def encode_letters(word: str) -> bytes:
+    def encode_letters(word: str, before: str | None = None) -> bytes:
         """A word of letters is one unit of the merges; they see its bytes as printable characters."""
         shown = word if word.isascii() else "".join(map(BYTE_SHOWN.__getitem__, word.encode()))
-        return array("I", [token.id for token in tokenizer.model.tokenize(space + shown)]).tobytes()
+        return array("I", [token.id for token in model.tokenize((space if before is None else before) + shown)]).tobytes()
 
-    space = BYTE_SHOWN[32] if rule == "keep" else ""
+    space, model = BYTE_SHOWN[32] if rule == "keep" else "", tokenizer.model
     words = _Words(encode, encode_letters, " " if rule == "keep" else "", CACHED_WORDS.get(rule, 0))
 
     def drop(text: str) -> bytes:

@@ -146,3 +146,15 @@ def test_no_documents(spark, no_docs):
     path = new_path(spark)
     huffman.write_tokens(no_docs, path, BYTE, 2)
     assert huffman.read_tokens(spark, path).agg(F.count("*")).first()[0] == 0
+
+
+def test_words_around_a_line_end_are_looked_up_apart():
+    library = Tokenizer.from_file(BYTE)
+    encode = tokens.encoder(BYTE)
+    words = next(cell.cell_contents for cell in encode.__closure__ if isinstance(cell.cell_contents, dict))
+    ends = ["ab.\nCd", "ab\nCd,", "été.\nÜber!", "a\nb\nc.", "x,.\nİy", "a.\n\nb", "a\n1", "x²\ny²", "a'\ns", "a\n's", "Ⅷ.\nⅧ", "a\r\nb", "ab<|\nendoftext|>", "ab\n", "漢字.\n漢字"]
+    text = "first " + " ".join(ends) + " last"
+    assert np.frombuffer(encode(text), "<u4").tolist() == library.encode(text, add_special_tokens=False).ids
+    for end in ends:
+        assert np.frombuffer(encode("a " + end), "<u4").tolist() == library.encode("a " + end, add_special_tokens=False).ids
+    assert "ab.\nCd" not in words and "ab." in words  # pairs of words are too many to be kept
