@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 
 from shelfsense.llm.common import blobs, mix, partitions, stored, worker_state
 from shelfsense.llm.components import connected_components
+from shelfsense.session import release_shuffles
 
 WORDS = 5
 PERCENT = 75
@@ -270,7 +271,8 @@ def _neighbour_links(sets: DataFrame, seed: int) -> DataFrame:
     """Verified links (a, b) of sets that follow each other in the order of their smallest hashes.
 
     Rows are dealt by range over two hashes, so a hot minimum is spread over tasks. Within a run of
-    one minimum a row is compared with the last few rows that began a family of their own.
+    one minimum a row is compared with the last few rows that began a family of their own; families that
+    a row has linked count as one from then on, so the links of a run do not exceed its rows and families.
     """
     salt = np.uint64(0x9E3779B97F4A7C15 * (seed + 1) % (1 << 64))
 
@@ -292,10 +294,17 @@ def _neighbour_links(sets: DataFrame, seed: int) -> DataFrame:
                 if row[0] != key:
                     key, leaders = row[0], []
                 tokens = np.frombuffer(row[2], np.uint64)
-                alike = [other for other, theirs in leaders if similar(tokens, theirs)]
-                links += [(row[1], other) for other in alike]
+                # One link for each group of leaders that links connect already; it makes them one group.
+                alike: dict[int, int] = {}
+                for other, theirs, group in leaders:
+                    if group not in alike and similar(tokens, theirs):
+                        alike[group] = other
+                links += [(row[1], other) for other in alike.values()]
+                if len(alike) > 1:
+                    first = next(iter(alike))
+                    leaders = [(other, theirs, first if group in alike else group) for other, theirs, group in leaders]
                 if not alike:
-                    leaders = [(row[1], tokens), *leaders[: LEADERS - 1]]
+                    leaders = [(row[1], tokens, row[1]), *leaders[: LEADERS - 1]]
             columns = list(zip(*links)) or [[], []]
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["a", "b"])
 
@@ -402,6 +411,7 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     near = stored(_near(_ask(docs, _set_rows, wide=False)))
+    release_shuffles(spark)  # all shingles of all documents; no later step reads them
 
     def as_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import hashlib
@@ -425,7 +435,9 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     for seed in range(SEEDS):
         links = links.unionAll(_neighbour_links(sets, seed))
     links = stored(links)
+    release_shuffles(spark)
     prefixes = stored(_prefixes(_ask(sets.select("doc_id", "tokens"), _stored_sets, wide=True)))
+    release_shuffles(spark)
     maps = sets.select("doc_id", "bitmap").dropDuplicates(["doc_id"])
     # The likeliest pairs first: what they link need not be compared again. Then all the others.
     for best_only in (True, False):
@@ -437,6 +449,7 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
         rows = labelled.join(mixed.select("token", "band"), ["token", "band"], "left_semi")
         pairs = stored(_group_pairs(rows.join(maps, "doc_id"), best_only).distinct())
         links = links.unionAll(stored(_verified(pairs, sets)))
+        release_shuffles(spark)
     components = connected_components(node_links.unionAll(links))
     ids = components.select(F.col("node").alias("doc_id"), F.col("component"))
 

@@ -161,3 +161,19 @@ def test_no_documents(no_docs, operator):
     assert operator(no_docs).count() == 0
 
 
+
+
+def test_a_run_gives_no_more_links_than_rows_and_families(spark):
+    salt = np.uint64(0x9E3779B97F4A7C15)
+    tokens = np.arange(1, 401, dtype=np.uint64)
+    tokens = tokens[np.argsort(setjoin.mix(tokens ^ salt))]
+    low, base, extra = tokens[:2], tokens[2:100], tokens[100:]
+    # Neither of the first two is like the other; every other set is like both, and all have the same two minima.
+    sets = [np.r_[low, base[15:]], np.r_[low, base[:-15]], *(np.r_[low, base, extra[i]] for i in range(20))]
+    rows = spark.createDataFrame([(i, bytearray(np.sort(s).tobytes())) for i, s in enumerate(sets)], "doc_id long, tokens binary")
+    links = [(r.a, r.b) for r in setjoin._neighbour_links(rows, 0).collect()]
+    assert len(links) == 21
+    reached = {0}
+    for _ in sets:
+        reached |= {i for pair in links if reached & set(pair) for i in pair}
+    assert reached == set(range(len(sets)))
