@@ -9,7 +9,8 @@
 4. Collisions in the prefix lists are counted first against one node of each list, the likeliest of
    another component: that links most copies. Then lists that still hold several components are merged,
    first for the best partner of each node, and in the end in full. Pairs above the match threshold that
-   a bitmap of the shingles does not rule out are confirmed on the whole sets.
+   a bitmap of the shingles does not rule out are confirmed on the whole sets. In the end a cell of lists
+   gets the sets of its nodes that have such pairs, and gives a spanning forest of its components, not all links.
 
 Two sets of similarity 0.85 or more have fewer than `MATCHES` equal coordinates with a probability of at
 most 2.4e-6 (the binomial tail at 0.85); no other step can lose a link between components.
@@ -34,6 +35,7 @@ COORDINATES = 64
 MATCHES = 40
 TILE = 512
 SLICE_BYTES = 1 << 20
+PART_BYTES = 1 << 26
 CACHED_WORDS = 150_000
 LONGEST_CACHED = 40
 SEEDS = mix(np.arange(1, COORDINATES + WORDS + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
@@ -138,7 +140,7 @@ def _prefix_lists(nodes: DataFrame) -> DataFrame:
 
 
 def _node_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(node, n, signature, bitmap, tokens) of wanted nodes, read from one of their documents again."""
+    """(node, n, signature, prefix, bitmap, tokens) of wanted nodes, read from one of their documents again."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, sets in _read_sets(batches):
@@ -148,7 +150,7 @@ def _node_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
 
     texts = docs.join(wanted.select("doc_id").distinct(), "doc_id", "left_semi").select("doc_id", "text")
     found = texts.mapInArrow(run, "doc_id long, digest binary, tokens binary, bitmap binary").dropDuplicates(["doc_id", "digest"])
-    return found.join(wanted, ["doc_id", "digest"]).select("node", "n", "signature", "bitmap", "tokens")
+    return found.join(wanted, ["doc_id", "digest"]).select("node", "n", "signature", "prefix", "bitmap", "tokens")
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -189,12 +191,14 @@ def _likeliest_pairs(rows: DataFrame) -> DataFrame:
 
 
 def _short(rows: DataFrame) -> DataFrame:
-    """Lists that are no longer than a tile, each one cell: (key, cell, node, component)."""
-    return rows.filter(F.col("size") <= TILE).select("key", F.lit(0).cast("long").alias("cell"), "node", "component")
+    """Lists that are no longer than a tile, each one cell: (key, cell, side, node, component)."""
+    return rows.filter(F.col("size") <= TILE).select("key", F.lit(0).cast("long").alias("cell"), F.lit(0).cast("long").alias("side"), "node", "component")
 
 
 def _cells(rows: DataFrame) -> DataFrame:
-    """Cut lists into cells (key, cell, node, component); a longer list has one for each two of its tiles.
+    """Cut lists into cells (key, cell, side, node, component); a longer list has one for each two of its tiles.
+
+    In a cell of two tiles `side` is 1 or 2, since pairs of one tile meet in a cell of their own; otherwise 0.
 
     A component with more than a tile's nodes has tiles of its own; a pair of such tiles of one
     component is left out. Smaller components share tiles. So a list of m nodes, most of them in one
@@ -216,94 +220,178 @@ def _cells(rows: DataFrame) -> DataFrame:
     placed = placed.withColumn("tile", F.struct(F.coalesce("family", F.lit(-1)).alias("family"), "tile"))
     tiles = placed.groupBy("key", "tile").agg(F.count("*").alias("size"))
     split = tiles.groupBy("key").agg(F.count("*").alias("n_tiles"))
-    one = placed.join(split.filter("n_tiles = 1").select("key"), "key", "left_semi").select("key", F.lit(0).cast("long").alias("cell"), "node", "component")
+    one = placed.join(split.filter("n_tiles = 1").select("key"), "key", "left_semi").select("key", F.lit(0).cast("long").alias("cell"), F.lit(0).cast("long").alias("side"), "node", "component")
     many = tiles.join(split.filter("n_tiles > 1").select("key"), "key", "left_semi").select("key", "tile")
     left, right = many.withColumnRenamed("tile", "one"), many.withColumnRenamed("tile", "two")
     met = left.join(right, "key").filter((F.col("one") <= F.col("two")) & ((F.col("one.family") != F.col("two.family")) | (F.col("one.family") == -1)))
     met = met.withColumn("cell", F.xxhash64("one", "two"))
-    sides = met.select("key", "cell", F.explode(F.array_distinct(F.array("one", "two"))).alias("tile"))
-    return short.unionByName(one).unionByName(placed.join(sides, ["key", "tile"]).select("key", "cell", "node", "component"))
-
-
-def _merged_pairs(cells: DataFrame, sets: DataFrame, best_only: bool) -> DataFrame:
-    """Pairs (a, b) of different components in one cell, above the match threshold and not ruled out by bitmaps.
-
-    `best_only` gives at most one pair for each node, by the greatest similarity that the bitmaps allow.
+    pair = F.array(*[F.struct(F.lit(i).cast("long").alias("side"), F.col(tile).alias("tile")) for i, tile in ((1, "one"), (2, "two"))])
+    own = F.array(F.struct(F.lit(0).cast("long").alias("side"), F.col("one").alias("tile")))
+    sides = met.select("key", "cell", F.inline(F.when(F.col("one") == F.col("two"), own).otherwise(pair)))
+    return short.unionByName(one).unionByName(placed.join(sides, ["key", "tile"]).select("key", "cell", "side", "node", "component"))
+
+
+def _runs(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
+    """Rows of each run of equal values of `keys` in a sorted partition."""
+    held, last = [], None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        values = np.stack([batch.column(key).to_numpy() for key in keys], 1)
+        cuts = np.flatnonzero(np.r_[True, (values[1:] != values[:-1]).any(1), True])
+        for begin, end in zip(cuts[:-1], cuts[1:]):
+            here = tuple(values[begin])
+            if held and here != last:
+                yield pa.Table.from_batches(held)
+                held = []
+            last = here
+            held.append(batch.slice(begin, end - begin))
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+class _Cell:
+    """Nodes of a cell in ascending order of their set sizes.
+
+    A pair that shares several prefix lists is met in the list of the least coordinate only.
     """
-    names = ["key", "cell", "node", "component", "n", "signature", "bitmap"]
 
-    def merge(nodes: np.ndarray, component: np.ndarray, n: np.ndarray, marks: np.ndarray, maps: list[bytes]) -> list[tuple[float, int, int]]:
-        order = np.argsort(n, kind="stable")
-        nodes, component, n, marks = nodes[order], component[order], n[order], marks[order]
+    def __init__(self, table: pa.Table):
+        self.nodes, self.component, self.n, self.side, prefix = (table.column(name).to_numpy() for name in ("node", "component", "n", "side", "prefix"))
+        self.component = self.component.copy()
+        self.coordinate = int(table.column("key")[0].as_py()) >> 32
+        self.marks = np.frombuffer(b"".join(table.column("signature").to_pylist()), "<u4").reshape(-1, COORDINATES)
+        self.prefix = (prefix[:, None] >> np.arange(COORDINATES)) & 1 == 1
+
+    def __len__(self) -> int:
+        return len(self.nodes)
+
+    def larger(self, i: int) -> list[int]:
+        """Places after i of another component, above the match threshold, that meet i here."""
+        last = np.searchsorted(self.n, 100 * self.n[i] // PERCENT, "right")
+        meet = (self.component[i + 1 : last] != self.component[i]) & ((self.side[i + 1 : last] != self.side[i]) | (self.side[i] == 0))
+        near = i + 1 + np.flatnonzero(meet)
+        equal = self.marks[near] == self.marks[i]
+        enough = equal.sum(1) >= MATCHES
+        near, equal = near[enough], equal[enough]
+        return near[(equal & self.prefix[near] & self.prefix[i]).argmax(1) == self.coordinate].tolist()
+
+
+def _possible(own: bytes, other: bytes, n: int, larger: int) -> int:
+    """The largest intersection of sets of these sizes that their bitmaps allow, or 0 if it links nothing."""
+    small, large = (own, other) if len(own) <= len(other) else (other, own)
+    a, b = np.frombuffer(small, np.uint8), np.frombuffer(large, np.uint8)
+    if len(a) < len(b):  # bits beyond the shorter map fold onto it
+        b = np.bitwise_or.reduce(b.reshape(-1, len(a)), axis=0)
+    # A shared shingle has a bit in common; of shingles on one bit all but the first may be shared too.
+    spare = min(n - np.bitwise_count(a).sum(dtype=np.int64), larger - np.bitwise_count(b).sum(dtype=np.int64))
+    most = min(np.bitwise_count(a & b).sum(dtype=np.int64) + max(spare, 0), n)
+    return most if linked(most, n, larger) else 0
+
+
+def _dealt(cells: DataFrame, sets: DataFrame, keys: list[str], *payload: str) -> DataFrame:
+    rows = cells.join(sets.select("node", "n", "signature", "prefix", *payload), "node").select(*keys, "side", "node", "component", "n", "signature", "prefix", *payload)
+    return rows.repartition(partitions(rows.sparkSession), *keys).sortWithinPartitions(*keys, "n", "node")
+
+
+def _best_pairs(cells: DataFrame, sets: DataFrame) -> DataFrame:
+    """At most one pair (a, b) for each node, of another component, by the greatest similarity that the bitmaps allow."""
+
+    def best(table: pa.Table) -> list[tuple[float, int, int]]:
+        cell, maps = _Cell(table), table.column("bitmap").to_pylist()
+        nodes, n = cell.nodes, cell.n
         found: list[tuple[float, int, int]] = []
-        for i in range(len(nodes) - 1):
-            last = np.searchsorted(n, 100 * n[i] // PERCENT, "right")
-            near = i + 1 + np.flatnonzero(component[i + 1 : last] != component[i])
-            near = near[(marks[near] == marks[i]).sum(1) >= MATCHES]
-            own = maps[order[i]]
-            for j in near.tolist():
-                other = maps[order[j]]
-                small, large = (own, other) if len(own) <= len(other) else (other, own)
-                a, b = np.frombuffer(small, np.uint8), np.frombuffer(large, np.uint8)
-                if len(a) < len(b):  # bits beyond the shorter map fold onto it
-                    b = np.bitwise_or.reduce(b.reshape(-1, len(a)), axis=0)
-                # A shared shingle has a bit in common; of shingles on one bit all but the first may be shared too.
-                spare = min(n[i] - np.bitwise_count(a).sum(dtype=np.int64), n[j] - np.bitwise_count(b).sum(dtype=np.int64))
-                most = min(np.bitwise_count(a & b).sum(dtype=np.int64) + max(spare, 0), n[i])
-                if linked(most, n[i], n[j]):
+        for i in range(len(cell) - 1):
+            for j in cell.larger(i):
+                if most := _possible(maps[i], maps[j], n[i], n[j]):
                     found.append((most / (n[i] + n[j] - most), min(nodes[i], nodes[j]), max(nodes[i], nodes[j])))
-        if not best_only:
-            return found
         met: set[int] = set()
-        best = []
+        chosen = []
         for pair in sorted(found, reverse=True):
             if not met.issuperset(pair[1:]):
-                best.append(pair)
+                chosen.append(pair)
                 met.update(pair[1:])
-        return best
+        return chosen
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[pa.RecordBatch] = []
         out: list[tuple[float, int, int]] = []
 
-        def close() -> None:
-            table = pa.Table.from_batches(held)
-            numbers = [table.column(name).to_numpy() for name in names[2:5]]
-            marks = np.frombuffer(b"".join(table.column("signature").to_pylist()), "<u4").reshape(-1, COORDINATES)
-            out.extend(merge(*numbers, marks, table.column("bitmap").to_pylist()))
-            held.clear()
-
         def given() -> pa.RecordBatch:
             columns = list(zip(*out)) or [[], [], []]
             out.clear()
             return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, (pa.float64(), pa.int64(), pa.int64()))], ["alike", "a", "b"])
 
-        last = None
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            key, cell = batch.column("key").to_numpy(), batch.column("cell").to_numpy()
-            cuts = np.flatnonzero(np.r_[True, (key[1:] != key[:-1]) | (cell[1:] != cell[:-1]), True])
-            for begin, end in zip(cuts[:-1], cuts[1:]):
-                here = (key[begin], cell[begin])
-                if held and here != last:
-                    close()
-                last = here
-                held.append(batch.slice(begin, end - begin))
+        for table in _runs(batches, ["key", "cell"]):
+            out.extend(best(table))
             if len(out) > 10_000:
                 yield given()
-        if held:
-            close()
         yield given()
 
-    payload = sets.select("node", "n", "signature", "bitmap")
-    rows = cells.join(payload, "node").select(*names)
-    dealt = rows.repartition(partitions(rows.sparkSession), "key", "cell").sortWithinPartitions("key", "cell", "node")
-    pairs = dealt.mapInArrow(run, "alike double, a long, b long")
-    if best_only:
-        ends = pairs.select(F.explode(F.array("a", "b")).alias("node"), F.struct("alike", "a", "b").alias("pair"))
-        pairs = ends.groupBy("node").agg(F.max("pair").alias("pair")).select("pair.a", "pair.b")
-    return pairs.select("a", "b").distinct()
+    pairs = _dealt(cells, sets, ["key", "cell"], "bitmap").mapInArrow(run, "alike double, a long, b long")
+    ends = pairs.select(F.explode(F.array("a", "b")).alias("node"), F.struct("alike", "a", "b").alias("pair"))
+    return ends.groupBy("node").agg(F.max("pair").alias("pair")).select("pair.a", "pair.b").distinct()
+
+
+def _open_nodes(cells: DataFrame, sets: DataFrame) -> DataFrame:
+    """Nodes of a cell with a partner there that the bitmaps allow: (key, cell, part, side, node, component).
+
+    A cell whose sets pass `PART_BYTES` is cut into tiles by size, and gets a part for each two tiles that
+    may hold linked sets; every other cell is one part.
+    """
+
+    def near(table: pa.Table) -> np.ndarray:
+        cell, maps = _Cell(table), table.column("bitmap").to_pylist()
+        met = np.zeros(len(cell), bool)
+        for i in range(len(cell) - 1):
+            for j in cell.larger(i):
+                if not (met[i] and met[j]) and _possible(maps[i], maps[j], cell.n[i], cell.n[j]):
+                    met[i] = met[j] = True
+        return np.flatnonzero(met)
+
+    def parts(n: np.ndarray) -> list[np.ndarray]:
+        tile = (np.cumsum(8 * n) - 8 * n) // (PART_BYTES // 2)
+        tiles = [np.flatnonzero(tile == t) for t in np.unique(tile)]
+        if len(tiles) < 3:
+            return [np.arange(len(n))]
+        reach = [(a, b) for a in range(len(tiles)) for b in range(a + 1, len(tiles)) if linked(n[tiles[a][-1]], n[tiles[a][-1]], n[tiles[b][0]])]
+        alone = set(range(len(tiles))).difference(*reach)
+        return [np.r_[tiles[a], tiles[b]] for a, b in reach] + [tiles[a] for a in alone]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in _runs(batches, ["key", "cell"]):
+            places = near(table)
+            for number, part in enumerate(parts(table.column("n").to_numpy()[places])) if len(places) else ():
+                rows = table.select(["key", "cell", "side", "node", "component"]).take(places[part])
+                columns = [pa.array(rows.column(name).to_numpy()) for name in rows.column_names]
+                columns.insert(2, pa.array(np.full(len(part), number, np.int64)))
+                yield pa.RecordBatch.from_arrays(columns, ["key", "cell", "part", "side", "node", "component"])
+
+    return _dealt(cells, sets, ["key", "cell"], "bitmap").mapInArrow(run, "key long, cell long, part long, side long, node long, component long")
+
+
+def _cell_links(parts: DataFrame, sets: DataFrame) -> DataFrame:
+    """Links (a, b), confirmed on whole sets, that join the components of a part as all its links do.
+
+    Components that a link has joined are one from then on, so a part of m components has fewer than m links.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in _runs(batches, ["key", "cell", "part"]):
+            cell = _Cell(table)
+            tokens = [np.frombuffer(value.as_buffer(), np.uint64) for value in table.column("tokens")]
+            maps, n, component = [fold(t) for t in tokens], cell.n, cell.component
+            found = []
+            for i in range(len(cell) - 1):
+                for j in cell.larger(i):
+                    if component[i] == component[j] or not _possible(maps[i], maps[j], n[i], n[j]):
+                        continue
+                    if linked(len(np.intersect1d(tokens[i], tokens[j], assume_unique=True)), n[i], n[j]):
+                        found.append((min(cell.nodes[i], cell.nodes[j]), max(cell.nodes[i], cell.nodes[j])))
+                        component[component == component[j]] = component[i]
+            columns = list(zip(*found)) or [[], []]
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["a", "b"])
+
+    return _dealt(parts, sets, ["key", "cell", "part"], "tokens").mapInArrow(run, "a long, b long").distinct()
 
 
 def near_copies(docs: DataFrame) -> DataFrame:
@@ -322,7 +410,8 @@ def near_copies(docs: DataFrame) -> DataFrame:
     nodes = named.groupBy("digest").agg(F.min("doc_id").alias("doc_id"), F.max("n").alias("n"), F.max("signature").alias("signature"))
     nodes = stored(nodes.withColumn("node", F.monotonically_increasing_id()))  # fixed once stored
     postings = stored(_prefix_lists(nodes))
-    wanted = nodes.join(postings.select("node").distinct(), "node", "left_semi")
+    coordinate = F.expr("shiftleft(1L, cast(shiftright(key, 32) as int))")
+    wanted = nodes.join(postings.groupBy("node").agg(F.bit_or(coordinate).alias("prefix")), "node")
     sets = stored(_node_sets(docs, wanted))
 
     # Rows of one doc_id are one document, whatever their texts.
@@ -331,12 +420,13 @@ def near_copies(docs: DataFrame) -> DataFrame:
     several = members.groupBy("doc_id").agg(F.min("node").alias("a"), F.max("node").alias("z")).filter("a <> z")
     links = stored(members.join(several, "doc_id").filter("node <> a").select("a", F.col("node").alias("b")))
     components = docs.sparkSession.createDataFrame([], "node long, component long")
-    # What is linked before the last step only spares that step work, so components need not be complete until then.
-    best, full = (lambda rows: _merged_pairs(_short(rows), sets, True)), (lambda rows: _merged_pairs(_cells(rows), sets, False))
-    for step, rounds in ((_likeliest_pairs, 2), (best, 2), (full, None)):
+    # What is linked before the last step only spares that step work.
+    for step, rounds in ((_likeliest_pairs, 2), (lambda rows: _best_pairs(_short(rows), sets), None)):
         pairs = stored(step(stored(_with_components(postings, components))))
         links = links.unionAll(stored(_confirmed(pairs, sets)))
         components = connected_components(links, rounds)
+    left = stored(_open_nodes(_cells(stored(_with_components(postings, components))), sets))
+    components = connected_components(links.unionAll(stored(_cell_links(left, sets))))
     placed = members.join(components, "node", "left").select("doc_id", F.coalesce("component", "node").alias("component"))
     smallest = placed.groupBy("component").agg(F.min("doc_id").alias("component_id"))
     found = placed.join(smallest, "component").select("doc_id", "component_id").distinct()

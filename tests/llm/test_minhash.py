@@ -67,6 +67,28 @@ def test_a_list_longer_than_a_tile(spark, monkeypatch):
     assert got(spark.createDataFrame(rows, "doc_id long, text string")) == brute(rows)
 
 
+def test_links_of_a_large_group_grow_with_its_size(spark, monkeypatch):
+    seen = []
+    components = minhash.connected_components
+
+    def counted(links, rounds=None):
+        seen.append(links.count())
+        return components(links, rounds)
+
+    monkeypatch.setattr(minhash, "connected_components", counted)
+    rng = random.Random(11)
+    rows = [row for f in range(2) for row in family(rng, 1000 * f, 600, 60, 2)]
+    assert got(spark.createDataFrame(rows, "doc_id long, text string")) == brute(rows)
+    assert max(seen) < 8 * len(rows)
+
+
+def test_cells_of_many_shingles_are_cut(spark, monkeypatch):
+    monkeypatch.setattr(minhash, "PART_BYTES", 8 * 400)
+    rng = random.Random(13)
+    rows = [row for f in range(4) for row in family(rng, 100 * f, 40, rng.choice([40, 90]), 6)]
+    assert got(spark.createDataFrame(rows, "doc_id long, text string")) == brute(rows)
+
+
 def test_rows_of_one_id_are_one_document(spark):
     one, two = (" ".join(f"{c}{i}" for i in range(30)) for c in "ab")
     rows = [(9, one), (9, two), (4, two + " x"), (7, one), (7, None), (3, ""), (3, one), (None, one), (1, "a b")]
