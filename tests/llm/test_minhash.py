@@ -2,6 +2,7 @@
 
 import random
 
+import numpy as np
 from conftest import table
 
 from shelfsense.llm import minhash
@@ -82,6 +83,17 @@ def test_links_of_a_large_group_grow_with_its_size(spark, monkeypatch):
     assert max(seen) < 8 * len(rows)
 
 
+def test_a_cell_gives_fewer_links_than_components(spark):
+    sets, cells = [], []
+    for node in range(30):
+        tokens = np.sort(minhash.mix(np.r_[np.arange(1, 301), 1000 + node].astype(np.uint64)))
+        sets.append((node, len(tokens), bytearray(minhash.signature(tokens).tobytes()), -1, bytearray(minhash.fold(tokens)), bytearray(tokens.tobytes())))
+        cells.append((0, 0, 0, node, node))
+    sets = spark.createDataFrame(sets, "node long, n long, signature binary, prefix long, bitmap binary, tokens binary")
+    cells = spark.createDataFrame(cells, "key long, cell long, side long, node long, component long")
+    assert 0 < minhash._cell_links(minhash._open_nodes(cells, sets), sets).count() < 30
+
+
 def test_cells_of_many_shingles_are_cut(spark, monkeypatch):
     monkeypatch.setattr(minhash, "PART_BYTES", 8 * 400)
     rng = random.Random(13)
