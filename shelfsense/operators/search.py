@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -35,7 +37,8 @@ def bm25_scores(index: TextIndex, queries: DataFrame, k1: float = 1.5, b: float
     """BM25 score of every document that holds at least one query token.
 
     The semi-join on the query terms moves below the aggregation that builds the postings, so on
-    a fresh index only query terms are shuffled, and on a stored one it prunes the scan.
+    a fresh index only query terms are shuffled, and on a stored one it prunes the scan. Words of shared texts
+    are filtered before they are spread over the documents.
     """
     doc = index.id_col
     terms = query_terms(queries)
@@ -43,10 +46,11 @@ def bm25_scores(index: TextIndex, queries: DataFrame, k1: float = 1.5, b: float
     postings = index.postings
     if "bucket" in postings.columns:
         buckets = index.corpus_stats.select("buckets").scalar()
-        wanted = wanted.withColumn("bucket", F.pmod(F.xxhash64("term"), buckets).cast("int"))
-        postings = postings.join(wanted, ["bucket", "term"], "left_semi").drop("bucket")
+        wanted = wanted.select(F.pmod(F.xxhash64("term"), buckets).cast("int").alias("bucket"), "term")
+    if index.shared is not None:
+        postings = index.shared.postings(wanted).drop("bucket")
     else:
-        postings = postings.join(wanted, "term", "left_semi")
+        postings = postings.join(wanted, wanted.columns, "left_semi").drop("bucket")
     corpus = index.corpus_stats.select(F.struct("n_docs", "avg_doc_len")).scalar()
     # Counting tf keeps this branch equal to the one below, so Spark shuffles the postings once.
     frequencies = postings.groupBy("term").agg(F.count("tf").alias("doc_freq"))
@@ -68,13 +72,10 @@ def _packed_scores(
     """`bm25_scores` of packed documents for many terms (query_id, term, query_tf), the best of each task."""
     doc = index.id_col
     numbers, docs = index.shared.packed(terms.select("term").distinct())
-    lengths = cut_lineage(index.doc_stats)
-    corpus = corpus_stats(lengths).first()
-    docs = cut_lineage(docs.join(lengths, doc, "left"))
+    corpus = index.corpus_stats.first()
+    docs = cut_lineage(docs.join(index.doc_stats, doc, "left"))
     idf = bm25_idf(F.lit(corpus["n_docs"]), F.col("doc_freq"))
-    weights = terms.join(numbers, "term")
-    if "doc_freq" not in numbers.columns:
-        weights = weights.join(packed.term_counts(docs), "number")
+    weights = terms.join(numbers, "term").join(packed.term_counts(docs), "number")
     weights = cut_lineage(weights.select("query_id", "number", (F.col("query_tf") * idf).alias("weight")))
     mean = corpus["avg_doc_len"]
 
@@ -91,6 +92,10 @@ def bm25_search(
     """The `top_k` documents of every query: query_id, document id, bm25, rank."""
     order = [F.round("bm25", TIE_DIGITS).desc(), F.col(index.id_col).asc()]
     if index.shared is not None:
+        if "bucket" not in index.postings.columns:
+            # Of an index that is not stored, lengths and their mean come from one pass over the texts.
+            lengths = cut_lineage(index.doc_stats)
+            index = replace(index, doc_stats=lengths, corpus_stats=corpus_stats(lengths))
         terms = cut_lineage(query_terms(queries))
         if terms.select("term").distinct().count() > FEW_TERMS:
             return top_k_per_group(_packed_scores(index, terms, k1, b, top_k), ["query_id"], order, top_k)

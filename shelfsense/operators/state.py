@@ -2,16 +2,15 @@
 
 from __future__ import annotations
 
-from dataclasses import replace
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfsense.operators import packed
-from shelfsense.operators.index import StoredWords, TextIndex, corpus_stats, whole_postings
+from shelfsense.operators.index import SharedWords, TextIndex, by_bucket, corpus_stats, counted_words
 from shelfsense.sources.store import Store, Version
 
 BUCKETS = 64
+#: Tables of an index: postings, or the words of shared texts, from which postings follow.
+WORDS = ("texts", "own", "uses")
 #: Tables that are stored as they are given.
 PLAIN = ("ranks", "products", "titles", "vectors", "user_factors", "item_factors")
 
@@ -19,7 +18,8 @@ PLAIN = ("ranks", "products", "titles", "vectors", "user_factors", "item_factors
 def publish(store: Store, index: TextIndex | None = None, buckets: int = BUCKETS, **tables: DataFrame) -> Version:
     """Write the given parts and publish them in one new version; parts that are not given stay as they were.
 
-    A reader sees the version before, or all of the new parts. `tables` are any of `PLAIN`.
+    A reader sees the version before, or all of the new parts. `tables` are any of `PLAIN`. An index of shared texts
+    is stored as the postings of its texts and the uses of these: a row for each term and document would be many times more.
     """
     unknown = set(tables) - set(PLAIN)
     if unknown:
@@ -28,20 +28,17 @@ def publish(store: Store, index: TextIndex | None = None, buckets: int = BUCKETS
     written = {name: [store.write(df, name)] for name, df in tables.items()}
     facts = {}
     if index is not None:
-        keys = ("bucket", "term", index.id_col)
-        bucket = F.pmod(F.xxhash64("term"), F.lit(buckets)).cast("int").alias("bucket")
-        written |= {"numbers": [], "words": []}
-        if index.shared is not None:
-            # Searches for many terms read whole documents, others the postings of their terms.
-            numbers, docs = index.shared.packed()
-            written["words"] = [store.write(docs, "words")]
-            docs = store.scan(written["words"])
-            counted = packed.term_counts(docs).join(numbers.select("term", "number"), "number").select("term", "number", "doc_freq")
-            written["numbers"] = [store.write(counted, "numbers")]
-            index = replace(index, shared=StoredWords(store.scan(written["numbers"]), docs))
-        # The id is a key as well, so the list of a very frequent term is spread over files.
-        postings = whole_postings(index).select("term", index.id_col, "tf", bucket).repartitionByRange(*keys).sortWithinPartitions(*keys)
-        written["postings"] = [store.write(postings, "postings", ["bucket"])]
+        written |= dict.fromkeys(("postings", *WORDS), [])
+        if index.shared is None:
+            postings = index.postings.select("term", index.id_col, "tf")
+            written["postings"] = [store.write(by_bucket(postings, index.id_col, buckets), "postings", ["bucket"])]
+        else:
+            shared, kinds = index.shared, {}
+            for name, key in (("texts", shared.text_id), ("own", shared.id_col), ("uses", None)):
+                rows = getattr(shared, name) if key is None else by_bucket(counted_words(getattr(shared, name), key), key, buckets)
+                written[name] = [store.write(rows, name, ["bucket"] if key else [])]
+                kinds[name] = ", ".join(f"`{column}` {kind}" for column, kind in rows.dtypes)
+            facts["shared"] = {"text_id": shared.text_id, "kinds": kinds}
         written["doc_stats"] = [store.write(index.doc_stats, "doc_stats")]
         stats = corpus_stats(store.scan(written["doc_stats"])).first()
         facts["corpus"] = {"n_docs": stats["n_docs"], "avg_doc_len": stats["avg_doc_len"], "buckets": buckets, "id_col": index.id_col}
@@ -60,9 +57,12 @@ class Snapshot:
         return self.store.read(self.version, name)
 
     def index(self) -> TextIndex:
-        postings, doc_stats = self.table("postings"), self.table("doc_stats")
+        doc_stats = self.table("doc_stats")
         facts = self.version.facts["corpus"]
         stats = self.store.spark.createDataFrame([tuple(facts.values())], "n_docs long, avg_doc_len double, buckets int, id_col string")
-        whole = "words" in self.version.tables
-        shared = StoredWords(self.table("numbers"), self.table("words")) if whole else None
-        return TextIndex(postings, doc_stats, stats, facts["id_col"], shared)
+        if "postings" in self.version.tables:
+            return TextIndex(self.table("postings"), doc_stats, stats, facts["id_col"])
+        words = self.version.facts["shared"]
+        tables = (self.store.scan(self.version.tables[name], words["kinds"][name]) for name in WORDS)
+        shared = SharedWords(*tables, facts["id_col"], words["text_id"])
+        return TextIndex(shared.postings(), doc_stats, stats, facts["id_col"], shared)

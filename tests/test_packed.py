@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from shelfsense.operators import index, packed, recommend, search, state
+from shelfsense.operators import index, packed, recommend, search, segments, state
 from shelfsense.sources.store import Store
 
 REVIEW = "product_id long, customer_id long, product_title string, text_id long, ord1 int, ord2 int"
@@ -108,3 +108,49 @@ def test_a_published_index_serves_many_terms_from_whole_documents(spark, shared,
     broken = served.postings.withColumn("tf", F.raise_error(F.lit("postings are read")).cast("long"))
     batch = search.bm25_search(replace(served, postings=broken), queries, top_k=3).withColumn("bm25", F.round("bm25", 9))
     assert rows(batch) == rows(plain)
+
+
+def few_texts_of_many_products(spark, first=0):
+    """60 products with the same two texts of 40 words, so rows by term and product are many more than words of texts."""
+    texts = [(0, " ".join(f"w{i}" for i in range(40))), (1, " ".join(f"w{i}" for i in range(20, 60))), (2, None)]
+    rows = [(first + p, 1, f"title {p}" if p % 2 else None, t, t, 1) for p in range(60) for t in (0, 1, p % 3)]
+    return index.build_index_of_shared_texts(
+        spark.createDataFrame(rows, REVIEW), spark.createDataFrame(texts, "text_id long, text string")
+    )
+
+
+def stored_rows(store):
+    version = store.latest()
+    return sum(store.spark.read.parquet(f"{store.path}/{folder}").count() for folders in version.tables.values() for folder in folders)
+
+
+def test_a_published_index_of_shared_texts_stores_no_row_for_each_term_and_product(spark, tmp_path):
+    built = few_texts_of_many_products(spark)
+    store = Store(spark, str(tmp_path / "state"))
+    state.publish(store, built, buckets=2)
+    served = state.Snapshot(store).index()
+    assert rows(served.postings.select("term", "product_id", "tf")) == rows(built.postings)
+    assert stored_rows(store) < built.postings.count() / 5
+    without_titles = replace(built, shared=replace(built.shared, own=built.shared.own.limit(0)))
+    state.publish(store, without_titles, buckets=2)
+    assert rows(state.Snapshot(store).index().shared.terms()) == rows(spark.createDataFrame([(f"w{i}",) for i in range(60)], "term string"))
+
+
+def test_segments_of_shared_texts_store_no_row_for_each_term_and_product(spark, tmp_path):
+    kept = segments.SegmentedIndex(Store(spark, str(tmp_path / "store")), buckets=2, fanout=2)
+    one, two = few_texts_of_many_products(spark), few_texts_of_many_products(spark, first=50)
+    kept.append(one)
+    assert stored_rows(kept.store) < one.postings.count() / 5
+    kept.append(two)  # replaces ten products, and the two segments are merged
+    kept.remove(spark.createDataFrame([("0",), ("70",)], "product_id string"))
+    live = one.postings.filter("product_id < 50 and product_id > 0").unionByName(two.postings.filter("product_id <> 70"))
+    expected = live.select("term", F.col("product_id").cast("string").alias("product_id"), "tf")
+    assert len(kept.segments(kept.store.latest())) == 1
+    assert rows(kept.read().postings.select("term", "product_id", "tf")) == rows(expected)
+
+
+def test_the_terms_of_a_collection_are_counted_without_posting_rows(spark, shared):
+    broken = shared.postings.withColumn("term", F.raise_error(F.lit("a row for each term and product")).cast("string"))
+    reviews, edges = spark.range(7), spark.range(3)
+    plain = index.index_summary(replace(shared, shared=None), reviews, edges)
+    assert rows(index.index_summary(replace(shared, postings=broken), reviews, edges)) == rows(plain)
