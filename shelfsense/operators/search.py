@@ -139,10 +139,15 @@ def fused_search(
     index: TextIndex, queries: DataFrame, ranks: DataFrame, documents: DataFrame,
     alpha: float = 0.7, top_k: int = 10, k1: float = 1.5, b: float = 0.75,
 ) -> DataFrame:
-    """Result table of a search: a BM25 pool of 2 · top_k, re-ranked with graph scores."""
+    """Result table of a search: a BM25 pool of 2 · top_k, re-ranked with graph scores.
+
+    Pool and hits are stored, at most 2 · top_k rows of a query: the re-ranking reads the pool twice.
+    """
     doc = index.id_col
-    pool = bm25_search(index, queries, k1, b, top_k=2 * top_k)
-    ranked = fuse_with_ranks(pool, ranks, alpha, top_k, round_before_sort=True, id_col=doc)
+    pool = cut_lineage(bm25_search(index, queries, k1, b, top_k=2 * top_k))
+    ranked = cut_lineage(fuse_with_ranks(pool, ranks, alpha, top_k, round_before_sort=True, id_col=doc))
+    # Stored hits are few, so their ids go to the rows that the documents are made of.
+    documents = documents.join(ranked.select(doc).distinct(), doc, "left_semi")
     return ranked.join(documents, doc).select(
         "query_id",
         doc,

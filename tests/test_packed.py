@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from shelfsense.operators import index, packed, recommend, search, segments, state
+from shelfsense.operators import fields, index, packed, recommend, search, segments, state
 from shelfsense.sources.store import Store
 
 REVIEW = "product_id long, customer_id long, product_title string, text_id long, ord1 int, ord2 int"
@@ -154,3 +154,33 @@ def test_the_terms_of_a_collection_are_counted_without_posting_rows(spark, share
     reviews, edges = spark.range(7), spark.range(3)
     plain = index.index_summary(replace(shared, shared=None), reviews, edges)
     assert rows(index.index_summary(replace(shared, postings=broken), reviews, edges)) == rows(plain)
+
+
+def test_a_search_over_fields_spreads_words_of_the_query_only(spark, shared):
+    reviews = spark.createDataFrame([(p, 1, f"title {p}", (p * 3 + i) % 4, i, 1) for p in range(1, 9) for i in range(p)], REVIEW)
+    texts = spark.createDataFrame([(0, "a b a c"), (1, "b d"), (2, None), (3, "e e a")], "text_id long, text string")
+    built = fields.product_fields(reviews, texts)
+    queries = spark.createDataFrame([(1, "a d title"), (2, "e")], "query_id long, query string")
+    settings = {"title": fields.Field(3.0, 0.3), "body": fields.Field()}
+    hits = lambda i: rows(fields.fielded_search(i, queries, settings).withColumn("score", F.round("score", 9)))
+    broken = replace(built, postings=built.postings.withColumn("tf", F.raise_error(F.lit("all words are spread")).cast("long")))
+    assert hits(broken) == hits(replace(built, of_terms=None)) and hits(broken)
+
+
+def test_a_fused_search_and_an_evaluation_search_once(spark, monkeypatch, tmp_path):
+    from shelfsense.plans import queries as plans
+
+    # Of a hit that is made anew for each reader, the readers would see different scores.
+    hits = spark.createDataFrame([(1, 7, 1), (1, 8, 2)], "query_id int, product_id long, rank int").withColumn("bm25", F.rand() + 1)
+    monkeypatch.setattr(search, "bm25_search", lambda *a, **k: hits)
+    ranks = spark.createDataFrame([(7, 0.5)], "id long, rank double")
+    documents = spark.createDataFrame([(7, "t", 1.0, "c"), (8, None, None, None)], "product_id long, product_title string, star_rating double, product_category string")
+    found = search.fused_search(index.TextIndex(hits, hits, hits), None, ranks, documents, alpha=1.0)
+    assert rows(found.select("product_id", "bm25", "combined")) == rows(found.select("product_id", "bm25", "combined"))
+    assert max(r["combined"] for r in found.collect()) == 1.0
+    monkeypatch.setattr(plans, "interactions", lambda *a: spark.createDataFrame([(7, 1, "small ring", 1.0, "c", 1, 1)], "product_id long, customer_id long, product_title string, star_rating double, product_category string, ord1 int, ord2 int"))
+    monkeypatch.setattr(plans, "_product_index", lambda *a: None)
+    monkeypatch.setattr(plans.graph, "pagerank", lambda *a: ranks)
+    runs, qrels, _ = plans._rankings(spark, "")
+    assert rows(runs) == rows(runs) and rows(qrels.select("doc_id").distinct()) == ["Row(doc_id=7)"]
+    assert not any("rand" in line for line in runs._jdf.queryExecution().optimizedPlan().toString().splitlines())
