@@ -6,26 +6,36 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfsense.operators.index import SharedWords, TextIndex, by_bucket, corpus_stats, counted_words
+from shelfsense.operators.recommend import PackedVectors
 from shelfsense.sources.store import Store, Version
 
 BUCKETS = 64
 #: Tables of an index: postings, or the words of shared texts, from which postings follow.
 WORDS = ("texts", "own", "uses")
+#: Tables of packed vectors.
+PACKED = ("vector_docs", "vector_terms")
 #: Tables that are stored as they are given.
 PLAIN = ("ranks", "products", "titles", "vectors", "user_factors", "item_factors")
 
 
-def publish(store: Store, index: TextIndex | None = None, buckets: int = BUCKETS, **tables: DataFrame) -> Version:
+def publish(store: Store, index: TextIndex | None = None, buckets: int = BUCKETS, **tables: DataFrame | PackedVectors) -> Version:
     """Write the given parts and publish them in one new version; parts that are not given stay as they were.
 
     A reader sees the version before, or all of the new parts. `tables` are any of `PLAIN`. An index of shared texts
     is stored as the postings of its texts and the uses of these: a row for each term and document would be many times more.
+    Vectors are rows by term or packed.
     """
     unknown = set(tables) - set(PLAIN)
     if unknown:
         raise ValueError(f"no such part: {', '.join(sorted(unknown))}")
     base = store.latest()
-    written = {name: [store.write(df, name)] for name, df in tables.items()}
+    written = {}
+    if "vectors" in tables:
+        written |= dict.fromkeys(("vectors", *PACKED), [])
+        if isinstance(tables["vectors"], PackedVectors):
+            vectors = tables.pop("vectors")
+            tables |= dict(zip(PACKED, (vectors.docs, vectors.terms)))
+    written |= {name: [store.write(df, name)] for name, df in tables.items()}
     facts = {}
     if index is not None:
         written |= dict.fromkeys(("postings", *WORDS), [])
@@ -56,6 +66,10 @@ class Snapshot:
             raise LookupError(f"version {self.version.number} has no {name}")
         return self.store.read(self.version, name)
 
+    def vectors(self) -> DataFrame | PackedVectors:
+        """The vectors in the form in which they were published."""
+        return PackedVectors(*map(self.table, PACKED)) if PACKED[0] in self.version.tables else self.table("vectors")
+
     def index(self) -> TextIndex:
         doc_stats = self.table("doc_stats")
         facts = self.version.facts["corpus"]

@@ -184,3 +184,30 @@ def test_a_fused_search_and_an_evaluation_search_once(spark, monkeypatch, tmp_pa
     runs, qrels, _ = plans._rankings(spark, "")
     assert rows(runs) == rows(runs) and rows(qrels.select("doc_id").distinct()) == ["Row(doc_id=7)"]
     assert not any("rand" in line for line in runs._jdf.queryExecution().optimizedPlan().toString().splitlines())
+
+
+def test_documents_of_many_uses_are_made_slice_by_slice(spark, shared, monkeypatch):
+    whole, plain = rows(shared.shared.packed()[1]), rows(index.term_stats(replace(shared, shared=None)))
+    reviews, texts = product_reviews(spark)
+    vectors = vectors_as_rows(recommend.all_shared_text_vectors(reviews, texts, 3))
+    monkeypatch.setattr(packed, "SLICE_USES", 5)
+    released = []
+    monkeypatch.setattr(packed, "release_shuffles", lambda session: released.append("documents"))
+    monkeypatch.setattr(index, "release_shuffles", lambda session: released.append("counts"))
+    docs = shared.shared.packed()[1]
+    assert len(rows(docs)) == len(whole) and len(released) > 1
+    assert rows(index.term_stats(shared)) == plain and released.count("counts") > 1
+    assert vectors_as_rows(recommend.all_shared_text_vectors(reviews, texts, 3)) == vectors
+
+
+def test_packed_vectors_are_published_and_served(spark, tmp_path):
+    reviews, texts = product_reviews(spark)
+    vectors = recommend.first_shared_text_vectors(recommend.first_reviews(reviews), texts)
+    titles, targets = index.first_titles(reviews), spark.createDataFrame([(1,), (4,), (50,)], "product_id long")
+    store = Store(spark, str(tmp_path / "state"))
+    state.publish(store, vectors=spark.createDataFrame([(1, "lens", 1.0)], "product_id long, term string, weight double"), titles=titles)
+    assert state.Snapshot(store).vectors().count() == 1
+    state.publish(store, vectors=vectors)
+    served = state.Snapshot(store)
+    lists = [rows(recommend.content_recommendations(v, served.table("titles"), targets, 3)) for v in (vectors, served.vectors())]
+    assert lists[0] == lists[1] and "vectors" not in served.version.tables

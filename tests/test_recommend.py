@@ -161,3 +161,15 @@ def test_steps_leave_no_old_tables_and_broadcast_no_customers(spark, monkeypatch
     plan = spark._jvm.PythonSQLUtils.explainString(factors._RatingMatrix(table, means, demean).times(
         fitted.items.withColumnRenamed("factor", "v"), 3)._jdf.queryExecution(), "simple")
     assert "BroadcastExchange" not in plan
+
+
+@pytest.mark.parametrize("demean", [True, False])
+def test_no_step_sends_the_vectors_of_all_products_through_the_driver(spark, demean):
+    from pyspark.sql import functions as F
+
+    table = ratings(spark, small())
+    matrix = factors._RatingMatrix(table, factors.user_means(table), demean)
+    # The first state is a few columns of a small file, as an estimate sees it.
+    state = matrix.items.select("product_id", *(F.array(F.lit(0.5), F.lit(0.5)).alias(name) for name in ("q", "v", "e")))
+    plan = spark._jvm.PythonSQLUtils.explainString(factors._step(state, matrix, 2)._jdf.queryExecution(), "simple")
+    assert "BroadcastExchange" not in plan
